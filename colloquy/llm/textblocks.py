@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: White space that separates words: space and \t \n \v \f \r.
 WHITE = np.zeros(256, bool)
@@ -22,6 +23,9 @@ LOWER[65:91] += 32
 #: Bytes handled at once, so that temporaries stay near 100 MB.
 CHUNK_BYTES = 3 << 20
 
+#: Spans of more bytes than this are hashed one by one.
+LONG_SPAN = 256
+
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = []
@@ -102,7 +106,10 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     up, down = powers(len(buf) + 1)
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    out = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_SPAN):  # a polynomial modulo 2**64 is weak on long regular spans
+        out[i] = xxhash.xxh3_64_intdigest(buf[starts[i] : ends[i]].tobytes())
+    return out
 
 
 def word_hashes(buf: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
