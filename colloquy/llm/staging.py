@@ -12,6 +12,8 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,3 +103,31 @@ def components(stages: Stages, edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         before = now
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def keep_shared(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key some other row has as well.
+
+    One pass over each sorted partition that holds back a single row, so that a
+    key of any number of rows needs no memory.
+    """
+
+    def run(batches):
+        held, before = None, None  # a row that may be alone, and the key of the last row given
+        for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0] if batch.num_rows else held
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            same = np.zeros(n + 1, bool)
+            same[1:n] = keys[1:] == keys[:-1]
+            same[0] = held is None and before is not None and before == keys[0]
+            keep = same[:-1] | same[1:]
+            held = None if keep[-1] else batch.slice(n - 1)
+            before = keys[-1]
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, df.schema)

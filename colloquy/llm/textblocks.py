@@ -20,6 +20,14 @@ WHITE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: Bytes outside letters, digits and multi-byte characters.
+NOT_ALNUM = np.ones(256, bool)
+NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = NOT_ALNUM[128:] = False
+
+#: Bytes outside letters and multi-byte characters.
+NOT_LETTER = NOT_ALNUM.copy()
+NOT_LETTER[48:58] = True
+
 #: Bytes handled at once, so that temporaries stay near 100 MB.
 CHUNK_BYTES = 3 << 20
 
@@ -82,12 +90,15 @@ def chunks(off: np.ndarray, limit: int = 0) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of rows at ``off`` (off[0] == 0), and each row's word offsets."""
+def word_spans(buf: np.ndarray, off: np.ndarray, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of rows at ``off`` (off[0] == 0), and each row's word offsets.
+
+    white: which byte values separate words.
+    """
     n = len(off) - 1
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
-    white = WHITE[buf]
+    white = white[buf]
     edge = np.empty(len(buf) + 1, bool)
     edge[1:] = white
     edge[off[off <= len(buf)]] = True
@@ -112,6 +123,14 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
+def lower_latin(buf: np.ndarray) -> np.ndarray:
+    """Lower case of ASCII letters and of the Latin-1 letters of UTF-8."""
+    buf = LOWER[buf]
+    upper = np.flatnonzero((buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)) + 1
+    buf[upper] += 32
+    return buf
+
+
 def word_hashes(buf: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of rows ``off`` in order, and each row's word offsets."""
     if lower:
