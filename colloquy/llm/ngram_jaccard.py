@@ -7,9 +7,10 @@ every partner. Representatives with the same prefix and size form one group;
 groups meet on prefix shingles, pairs are filtered by size, position and an exact
 upper bound on the overlap, then expanded to members and verified on whole sets.
 
-Large groups of near copies never become all pairs: a first pass links each
-group to the leader it shares most prefix shingles with, and only pairs that lie in different
-components after that pass are compared one by one. The result is exact in the
+Large groups of near copies never become all pairs: sets that agree in some band of
+least hashes are first compared side by side, which joins such groups into
+components, and only pairs that then still lie in different components are
+compared one by one. The result is exact in the
 sense of reachability: two documents are in one component if and only if a chain
 of verified links joins them.
 
@@ -28,16 +29,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .staging import Stages, components
+from .staging import Stages, components, keep_shared
 
 #: Counters of the frequency sketch (2**20): its size never grows with the corpus.
 SKETCH_BITS = 20
 SKETCH_PART = 1 << 14
+#: Bands of least hashes that find first links, and least hashes in each.
+BANDS, BAND = 16, 8
 #: Buckets of the overlap bound kept for each representative.
 BOUND_BUCKETS = 128
+#: Words of the parity bitmap of a set. Sets that differ in d shingles have bitmaps that differ in d bits at most.
+PARITY_WORDS = 4
+PARITY = [f"m{i}" for i in range(PARITY_WORDS)]
 
 
 def _shingle_stream(batches: Iterator[pa.RecordBatch], k: int):
@@ -88,6 +95,23 @@ def bound_bytes(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount((s & np.uint64(BOUND_BUCKETS - 1)).astype(np.int64), minlength=BOUND_BUCKETS), 255).astype(np.uint8).tobytes()
 
 
+def parity_words(s: np.ndarray) -> np.ndarray:
+    """For each bucket whether the set has an odd number of shingles there, as 64-bit words."""
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_EDGES = np.array([(i << 64) // (BANDS * BAND) for i in range(BANDS * BAND)], np.uint64)
+
+
+def band_hashes(s: np.ndarray) -> np.ndarray:
+    """One hash for each band: of the least shingle hash at or after each of its edges."""
+    if not len(s):
+        return np.zeros(0, np.uint64)
+    least = s[np.searchsorted(s, _EDGES) % len(s)].reshape(BANDS, BAND)
+    return tb.mix((tb.mix(least) * (2 * np.arange(BAND, dtype=np.uint64) + np.uint64(1))).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+
+
 def _signatures(docs: DataFrame, k: int, percent: int, levels) -> DataFrame:
     """doc_id, n, 128-bit signature of the set, of the prefix, the prefix, the bound."""
 
@@ -95,7 +119,7 @@ def _signatures(docs: DataFrame, k: int, percent: int, levels) -> DataFrame:
         level = levels.value
         for batch, i, j, words, g, rows in _shingle_stream(batches, k):
             out = {c: [] for c in ("n", "s1", "s2", "p")}
-            prefixes, bounds = [], []
+            prefixes, bounds, bands, parity = [], [], [], []
             for r in range(j - i):
                 s = tb.distinct(_row_grams(words, g, rows[r], rows[r + 1], k))
                 n = len(s)
@@ -108,52 +132,15 @@ def _signatures(docs: DataFrame, k: int, percent: int, levels) -> DataFrame:
                 out["p"].append(int(np.add.reduce(tb.mix(prefix)).view(np.int64)) if n else 0)
                 prefixes.append(prefix)
                 bounds.append(bound_bytes(s))
+                bands.append(band_hashes(s))
+                parity.append(parity_words(s))
+            parity = np.stack(parity)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[i:j].cast(pa.int64()), pa.array(out["n"], pa.int32()), *(pa.array(out[c], pa.int64()) for c in ("s1", "s2", "p")), tb.list_array(prefixes), pa.array(bounds, pa.binary())],
-                ["doc_id", "n", "s1", "s2", "p", "prefix", "bound"],
+                [batch.column("doc_id")[i:j].cast(pa.int64()), pa.array(out["n"], pa.int32()), *(pa.array(out[c], pa.int64()) for c in ("s1", "s2", "p")), tb.list_array(prefixes), pa.array(bounds, pa.binary()), tb.list_array(bands), *(pa.array(np.ascontiguousarray(x)) for x in parity.T)],
+                ["doc_id", "n", "s1", "s2", "p", "prefix", "bound", "bands", *PARITY],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n int, s1 long, s2 long, p long, prefix array<long>, bound binary")
-
-
-def _shared_postings(postings: DataFrame, percent: int) -> DataFrame:
-    """Postings of prefix shingles that several groups have, with a leader each.
-
-    Reads each list in order of size and keeps one posting at a time, so that a
-    list of any length needs no memory. The leader is the smallest group whose
-    size can still match.
-    """
-
-    def run(batches):
-        last = None  # first posting of a list, held until a second one comes
-        for batch in batches:
-            token, gid, n, pos = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "gid", "n", "pos"))
-            m = len(token)
-            if not m:
-                continue
-            same = np.zeros(m + 1, bool)
-            same[1:m] = token[1:] == token[:-1]
-            carried = last is not None and last["token"] == token[0]
-            same[0] = carried
-            shared = np.flatnonzero(same[:m] | same[1:])
-            leader = np.empty(m, np.int64)
-            at = 0
-            lead = (last["lead"], last["lead_n"]) if carried else None
-            for at in shared:
-                if not same[at] or 100 * lead[1] < percent * n[at]:
-                    lead = (gid[at], n[at])
-                leader[at] = lead[0]
-            held = bool(last and not last["out"])
-            columns = [x[shared] for x in (token, gid, n, pos, leader)]
-            if carried and held:
-                columns = [np.concatenate([[v], c]) for v, c in zip((last["token"], last["gid"], last["n"], last["pos"], last["gid"]), columns)]
-            if len(columns[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], ["token", "gid", "n", "pos", "leader"])
-            end = m - 1
-            out = bool(same[end])
-            last = {"token": token[end], "gid": gid[end], "n": n[end], "pos": pos[end], "out": out, "lead": lead[0] if out else gid[end], "lead_n": lead[1] if out else n[end]}
-
-    return postings.repartition("token").sortWithinPartitions("token", "n", "gid").mapInArrow(run, "token long, gid long, n int, pos int, leader long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n int, s1 long, s2 long, p long, prefix array<long>, bound binary, bands array<long>" + "".join(f", {m} long" for m in PARITY))
 
 
 def _overlap_needed(a: str, b: str, percent: int):
@@ -217,6 +204,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return rows.repartition("b", "salt").sortWithinPartitions("b", "salt", "kind").mapInArrow(run, "a long, b long")
 
 
+def _neighbours(reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that stand side by side, by size, among the sets with an equal band."""
+    order = W.partitionBy("band").orderBy("n", "doc_id")
+    rows = reps.select("doc_id", "n", F.explode("bands").alias("band")).withColumn("p", F.lag(F.struct("doc_id", "n")).over(order))
+    return rows.where(f"p is not null and 100 * p.n >= {percent} * n").select(F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, is_representative.
 
@@ -230,31 +224,33 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
     same = signed.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     same = stages.keep(same, "sets")
-    reps = stages.keep(signed.join(same, ["n", "s1", "s2"]).where("doc_id = rep").dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "n", "p", "prefix", "bound"), "reps")
+    reps = stages.keep(signed.join(same, ["n", "s1", "s2"]).where("doc_id = rep").dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "n", "p", "prefix", "bound", "bands", *PARITY), "reps")
     groups = reps.groupBy("n", "p").agg(F.min("doc_id").alias("gid"))
     members = stages.keep(reps.select("doc_id", "n", "p").join(groups, ["n", "p"]).select("gid", "doc_id"), "members")
     firsts = reps.join(members.where("gid = doc_id").select("doc_id"), "doc_id", "left_semi")
-    postings = firsts.select(F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("gid"), "n")
-    shared = stages.keep(_shared_postings(postings, percent), "shared")
-
-    # leader pass: each group with the leader it shares most prefix shingles with, each member with its group's first
-    best = shared.where("gid <> leader").groupBy("gid", "leader").count().groupBy("gid").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader"))
-    stars = best.select(F.col("gid").alias("a"), F.col("leader").alias("b")).unionByName(members.where("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b")))
-    stars = stages.keep(_bounded(stars.distinct(), reps, percent), "stars")
+    postings = firsts.select(F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("gid"), "n", *PARITY)
+    shared = stages.keep(keep_shared(postings, "token"), "shared")
     in_play = shared.select("gid").distinct().join(members, "gid").select("doc_id").unionByName(members.where("gid <> doc_id").select("doc_id")).unionByName(members.where("gid <> doc_id").select(F.col("gid").alias("doc_id"))).distinct()
     texts = stages.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(in_play, "doc_id", "left_semi"), "texts")
-    links = stages.keep(_verified(stars, texts, k, percent), "star-links")
+
+    # first links: members with their group's first, groups in play with neighbours in bands of least hashes
+    inner = members.where("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b"))
+    near = _neighbours(reps.join(in_play, "doc_id", "left_semi"), percent).unionByName(inner).distinct()
+    links = stages.keep(_verified(stages.keep(_bounded(near, reps, percent), "near"), texts, k, percent), "links")
     first = stages.keep(components(stages, links), "first")
 
     # cross pass: what shares a shingle but not yet a component, pair by pair
     labelled = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     of_group = labelled.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    tagged = stages.keep(shared.join(of_group, "gid").select("token", "gid", "n", "pos", "lo", "hi"), "tagged")
+    tagged = stages.keep(shared.join(of_group, "gid").select("token", "gid", "n", "pos", "lo", "hi", *PARITY), "tagged")
     mixed = tagged.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("token")
     tagged = tagged.join(mixed, "token", "left_semi")
     x, y = tagged.alias("x"), tagged.alias("y")
     crossed = x.join(y, F.expr(f"x.token = y.token and (x.n, x.gid) < (y.n, y.gid) and 100 * x.n >= {percent} * y.n and not (x.lo = x.hi and x.lo = y.lo and y.lo = y.hi)"))
-    crossed = crossed.where(F.expr("1 + least(x.n - x.pos, y.n - y.pos) - 1") >= _overlap_needed("x.n", "y.n", percent))
+    apart = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in PARITY)
+    crossed = crossed.where(F.expr(apart) <= F.expr("x.n + y.n") - 2 * _overlap_needed("x.n", "y.n", percent))
+    # of a pair that reaches the similarity, the first common shingle leaves room for the overlap behind it
+    crossed = crossed.where(F.expr("least(x.n - x.pos, y.n - y.pos)") >= _overlap_needed("x.n", "y.n", percent))
     group_pairs = crossed.select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()
     inside = labelled.join(of_group.where("lo <> hi").select("gid"), "gid", "left_semi")
     inside = inside.alias("u").join(inside.alias("v"), F.expr("u.gid = v.gid and u.doc_id > v.doc_id and u.component <> v.component")).select(F.col("u.doc_id").alias("a"), F.col("v.doc_id").alias("b"))
