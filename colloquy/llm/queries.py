@@ -5,8 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import language
 from .bpe_replay import encode_documents
+from .decontaminate import contaminated
 from .ngram_jaccard import jaccard_components
+from .repeated_text import cut_repeats
 from .staging import Stages, table
 from .token_files import read_token_files, write_token_files
 
@@ -15,6 +18,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -25,8 +33,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, out)
 
 
+def op9_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op7_byte_bpe, op8_token_files)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op5_language_id, op7_byte_bpe, op8_token_files, op9_repeated_text, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
