@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language
+from . import language, quality
 from .bpe_replay import encode_documents
+from .chat_format import format_chats
 from .decontaminate import contaminated
+from .hamming_search import nearest
+from .html_text import extract
 from .ngram_jaccard import jaccard_components
 from .repeated_text import cut_repeats
 from .staging import Stages, table
@@ -18,11 +21,28 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.fit(docs))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -42,7 +62,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op5_language_id, op7_byte_bpe, op8_token_files, op9_repeated_text, op10_decontamination)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality, op3_html_text, op4_hamming_search, op5_language_id, op6_chat_format, op7_byte_bpe, op8_token_files, op9_repeated_text, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
