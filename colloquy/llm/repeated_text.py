@@ -7,7 +7,7 @@ its anchor, the left-most smallest hash of its GRAM-byte substrings. Equal windo
 have equal anchors at equal offsets, so only anchors that occur more than once are
 of interest. Anchors whose whole surroundings are alike are settled by comparing
 hashes of these; the surroundings of the others go, in four overlapping parts, to
-shards whose suffixes are put in order by external induced sorting with common
+shards, where equal parts are settled at once and the suffixes of the unlike ones are put in order by external induced sorting with common
 prefixes (induced_sort), and windows that share ``length`` symbols are repeated.
 
 Copies of whole texts are settled first, by their 128-bit hash, so that a large
@@ -21,6 +21,7 @@ doc_id; extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -155,14 +156,23 @@ def _sorted_marks(pieces: DataFrame, shape: Shape) -> DataFrame:
         rows, held, key = [], 0, None
 
         def solve():
-            strings = [r[3] for r in rows]
-            lo = np.array([r[4] for r in rows])
+            alike = {}  # rows by key, place of the anchor and bytes: equal pieces have equal windows
+            for r in rows:
+                alike.setdefault((r[0], r[4], r[3]), []).append(r)
+            distinct = Counter(k for k, _, _ in alike)
+            unlike = [of for (k, _, _), of in alike.items() if distinct[k] > 1]
+            first = np.array([of[0][5] - of[0][4] for of in unlike], np.int64)
+            last = np.array([of[0][6] - of[0][4] for of in unlike], np.int64)
+            found = flagged([of[0][3] for of in unlike], first, last, shape.length) if unlike else []
             out = {c: [] for c in ("anchor", "ctx", "a", "b")}
-            found = flagged(strings, np.array([r[5] for r in rows]) - lo, np.array([r[6] for r in rows]) - lo, shape.length)
-            for r, starts, low in zip(rows, found, lo):
-                for a, b in zip(*cover(starts + low, shape.length)):
-                    for c, v in zip(out, (r[1], r[2], a, b)):
-                        out[c].append(int(v))
+            starts = {id(of): s + of[0][4] for of, s in zip(unlike, found)}
+            for of in alike.values():
+                at = np.arange(of[0][5], of[0][6] + 1) if len(of) > 1 else starts.get(id(of), ())
+                runs = list(zip(*cover(np.asarray(at, np.int64), shape.length)))
+                for r in of:
+                    for a, b in runs:
+                        for c, v in zip(out, (r[1], r[2], a, b)):
+                            out[c].append(int(v))
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], list(out))
 
         for batch in batches:
