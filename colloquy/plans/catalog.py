@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from . import conversations, documents, relational  # noqa: F401  each registers its queries
+from .registry import ORACLES, QUERIES
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["filter_report"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
