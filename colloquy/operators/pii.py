@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import let
 
@@ -96,7 +97,7 @@ _EMAIL, _PLACEHOLDER = re.compile(EMAIL), re.compile(PLACEHOLDER_EMAIL)
 RESERVED_EMAILS = ("email@example.com", "firstname.lastname@example.org")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def replace_emails(texts: pd.Series) -> pd.Series:
     """Guarded addresses replaced by a reserved one that depends on the match only."""
     import hashlib

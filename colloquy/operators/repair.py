@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import messages as M
 from ..functions.text import is_blank, strip
@@ -65,7 +66,7 @@ def _calls(text: str | None) -> str | None:
     return json.dumps(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def tool_calls_json(texts: pd.Series) -> pd.Series:
     return texts.map(_calls)
 
