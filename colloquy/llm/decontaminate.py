@@ -115,7 +115,7 @@ def align(item: np.ndarray, passages: list[np.ndarray]) -> list[tuple[int, int]]
             above[:, 1:] = row
             np.maximum(best, row, out=best)
         at = best.argmax(axis=1) if width else np.zeros(b - a, int)
-        out.extend((int(best[r, c]), int(c)) for r, c in enumerate(at))
+        out.extend((int(best[r, c]), int(c)) if width else (0, 0) for r, c in enumerate(at))
         a = b
     return out
 

@@ -229,7 +229,7 @@ class Vectors:
             if len(at):
                 head = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
                 x[at[head], side] = np.add.reduceat(table[slot] * weight[:, None], head, axis=0)
-        return np.concatenate([x.reshape(n, t, -1), self.plain], axis=2)
+        return np.concatenate([x.reshape(n, t, PATH_SIZE + WORD_SIZE), self.plain], axis=2)
 
 
 def _sparse(rows: list[tuple[int, int, float]]):

@@ -56,6 +56,8 @@ class Model:
     def __init__(self, languages: list[str], words: list[tuple[str, bytes, int]]):
         """words: (language, word, count)."""
         self.languages = languages
+        if not languages:
+            return
         number = {x: i for i, x in enumerate(languages)}
         texts: dict[bytes, int] = {}
         rows, langs, counts = [], [], []
