@@ -149,3 +149,117 @@ def session_windows(t):
 @query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, round(avg(value), 4) AS mean FROM events GROUP BY event_type")
 def grouped_means(t):
     return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"), F.round(F.avg("value"), 4).alias("mean"))
+
+
+@query("SELECT doc_id, concat_ws(';', CASE WHEN quality = 0 THEN 'low' END, CASE WHEN toxic = 1 THEN 'toxic' END) AS reason, NOT (quality = 0 OR toxic = 1) AS ok FROM labels")
+def flag_sets(t):
+    from ..operators.joins import flagged
+
+    labels = t("labels").select("doc_id", "quality", "toxic")
+    return flagged(labels.select("doc_id"), "doc_id", {"low": labels.where("quality = 0"), "toxic": labels.where("toxic = 1")}).select("doc_id", "reason", "ok")
+
+
+@query("SELECT coalesce(CAST(quality AS VARCHAR), 'Untraced') AS quality, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def lookup_with_default(t):
+    from ..operators.joins import lookup
+
+    labels = t("labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
+    return lookup(t("documents").select("doc_id"), labels, "doc_id", "quality", "Untraced").groupBy("quality").agg(F.count("*").alias("n"))
+
+
+@query("SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN -1 ELSE label END AS label FROM embeddings UNION ALL SELECT 1000000, 5")
+def upserted(t):
+    from ..operators.joins import upsert
+
+    base = t("embeddings").select("vec_id", "label")
+    changes = base.where("vec_id % 7 = 0").withColumn("label", F.lit(-1)).unionByName(base.sparkSession.createDataFrame([(1_000_000, 5)], "vec_id long, label int"))
+    return upsert(base, changes, "vec_id")
+
+
+@query("SELECT state, count(*) AS n FROM (SELECT CASE WHEN a.doc_id IS NULL THEN 'no_left' WHEN b.doc_id IS NULL THEN 'no_right' WHEN a.v = b.v THEN 'equal' ELSE 'different' END AS state FROM (SELECT doc_id, n_chars AS v FROM documents WHERE doc_id % 2 = 0) a FULL JOIN (SELECT doc_id, length(text) + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS v FROM documents WHERE doc_id % 3 = 0) b ON a.doc_id = b.doc_id) GROUP BY state")
+def state_check(t):
+    from ..operators.joins import reconciled
+
+    docs = t("documents")
+    left = docs.where("doc_id % 2 = 0").select("doc_id", F.col("n_chars").alias("v"))
+    right = docs.where("doc_id % 3 = 0").select("doc_id", (F.length("text") + F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).alias("v"))
+    return reconciled(left, right, "doc_id", "v").groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query("SELECT lang, count(*) FILTER (length(text) > 0) AS before, count(*) FILTER (length(text) > 1000) AS given, count(*) FILTER (length(text) > 5000) AS after FROM documents GROUP BY lang")
+def aligned_counts(t):
+    from ..operators.joins import aligned
+
+    docs = t("documents").withColumn("n", F.length("text"))
+    count = lambda least: docs.where(F.col("n") > least).groupBy("lang").agg(F.count("*").alias("v"))
+    return aligned({"before": count(0), "given": count(1000), "after": count(5000)}, ["lang"], "v")
+
+
+@query("SELECT CASE WHEN source IN ('src1', 'src2', 'src3') THEN 'web' WHEN source IN ('src4', 'src5') THEN 'books' ELSE source END AS source, count(*) AS n FROM documents GROUP BY 1")
+def mapping_chain(t):
+    from ..operators.joins import relabelled
+
+    counts = t("documents").groupBy("source").agg(F.count("*").alias("n"))
+    spark = counts.sparkSession
+    first = spark.createDataFrame([("src1", "www"), ("src2", "www"), ("src3", "web"), ("src4", "books"), ("src5", "books")], "source string, target string")
+    second = spark.createDataFrame([("www", "web")], "source string, target string")
+    return relabelled(relabelled(counts, first, "source", "n"), second, "source", "n")
+
+
+@query("SELECT CASE WHEN source IN ('src1', 'src2') THEN 'web' WHEN source = 'src7' THEN 'code' ELSE '__GAP__' END AS category, count(DISTINCT source) AS n_values, sum(n_chars) AS volume FROM documents GROUP BY 1")
+def taxonomy_coverage(t):
+    from ..operators.taxonomy import coverage
+
+    docs = t("documents").select("source", "n_chars")
+    mapping = docs.sparkSession.createDataFrame([("src1", "web"), ("src2", "web"), ("src7", "code")], "source string, category string")
+    return coverage(docs, "source", mapping, "category", "n_chars")
+
+
+@query(
+    r"""SELECT lang, count(*) AS n_rows, count(*) FILTER (length(text) < 20) AS tiny, count(*) FILTER (length(text) > 0 AND CAST(length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) < 0.3) AS low_alnum,
+count(*) FILTER (regexp_matches(text, '[!-/:-@\[-`{-~]{40,}')) AS punctuation_run FROM documents GROUP BY lang"""
+)
+def quality_scan(t):
+    from ..operators.scans import counted, text_flags
+
+    flags = text_flags(F.col("text"))
+    return counted(t("documents"), {n: flags[n] for n in ("tiny", "low_alnum", "punctuation_run")}, ["lang"])
+
+
+@query(
+    r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM documents),
+g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM w WHERE len(w) >= 60),
+m AS (SELECT doc_id, max(c) AS score FROM (SELECT doc_id, g, count(*) AS c FROM g GROUP BY ALL) GROUP BY doc_id) SELECT doc_id, score FROM m WHERE score >= 6"""
+)
+def loop_scores(t):
+    from ..operators.scans import loop_score
+
+    return t("documents").select("doc_id", loop_score(F.col("text")).cast("long").alias("score")).where("score >= 6")
+
+
+@query()
+def context_probes(t):
+    """How many chats each context probe flags."""
+    from ..functions import messages as M
+    from ..operators.scans import chat_flags, counted
+
+    return counted(M.from_turns(t("conversations")), chat_flags(F.col("messages")))
+
+
+@query()
+def needle_search(t):
+    """The first rows of each string column of documents that hold a needle."""
+    from ..operators.scans import needles
+
+    return needles(t("documents"), "src7")
+
+
+@query(
+    """WITH s AS (SELECT vec_id, label, embedding FROM embeddings), p AS (SELECT a.vec_id, a.label = b.label AS same, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM s a JOIN s b ON b.vec_id = a.vec_id + 1)
+SELECT same, count(*) AS n, round(avg(cosine), 4) AS mean FROM p GROUP BY same"""
+)
+def pair_relatedness(t):
+    v = t("embeddings").select("vec_id", "label", "embedding")
+    after = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("label").alias("other"), F.col("embedding").alias("e2"))
+    pairs = v.join(after, "vec_id").select((F.col("label") == F.col("other")).alias("same"), F.round(embeddings.cosine(F.col("embedding"), F.col("e2")), 6).alias("cosine"))
+    return pairs.groupBy("same").agg(F.count("*").alias("n"), F.round(F.avg("cosine"), 4).alias("mean"))
