@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,6 +20,7 @@ def query(sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return fn(lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
