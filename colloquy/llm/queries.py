@@ -65,5 +65,19 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality, op3_html_text, op4_hamming_search, op5_language_id, op6_chat_format, op7_byte_bpe, op8_token_files, op9_repeated_text, op10_decontamination)}
 
 
+#: Shingles of every whole text, all pairs that share one, and reachability over the links.
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) ELSE [array_to_string(w, ' ')] END)) AS g FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+r(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM r GROUP BY x) m USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_jaccard_join": _JACCARD_SQL}

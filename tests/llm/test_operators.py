@@ -353,3 +353,13 @@ def test_nulls_and_clashes(spark):
 
 def test_queries_registered(spark):
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+
+
+def test_jaccard_sql(spark, sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    expected = sorted(con.execute(queries.oracle_sql()["op1_ngram_jaccard_join"]).fetchall())
+    got = queries.queries()["op1_ngram_jaccard_join"](spark, sf).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == expected
