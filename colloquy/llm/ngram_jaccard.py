@@ -261,4 +261,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     final = stages.keep(components(stages, links), "components")
 
     linked = same.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
-    return signed.select("doc_id", "n", "s1", "s2").join(linked, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    result = signed.select("doc_id", "n", "s1", "s2").join(linked, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    result = stages.keep(result, "result")
+    stages.only("result")
+    return result

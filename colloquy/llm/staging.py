@@ -39,6 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Stages:
     """Written intermediate tables of one operator run."""
 
@@ -47,24 +50,40 @@ class Stages:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/colloquy-{uuid.uuid4().hex}"
         self.count = 0
+        self.paths: list[str] = []
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write df and read it back: cuts lineage, survives lost executors."""
         return self.spark.read.schema(df.schema).parquet(self.write(df, name))
 
     def write(self, df: DataFrame, name: str = "t") -> str:
+        """Write df. Its shuffle files are of no more use then and are removed at once."""
         self.count += 1
         path = f"{self.root}/{self.count}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
+        self.paths.append(path)
         return path
 
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table that keep() wrote, once nothing later reads it."""
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that keep() wrote, once nothing later reads them."""
+        gone = {f.rpartition("/")[0] for df in tables for f in df.inputFiles()}
+        self._delete([p for p in self.paths if any(g.endswith(p.rpartition("//")[2]) for g in gone)])
+
+    def only(self, *names: str) -> None:
+        """Delete every table but those written under these names."""
+        self._delete([p for p in self.paths if p.rpartition("/")[2].partition("-")[2] not in names])
+
+    def _delete(self, paths: list[str]) -> None:
         jvm = self.spark._jvm
-        for f in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if f.startswith("file:") or "://" in f:
-                path = jvm.org.apache.hadoop.fs.Path(f)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.paths.remove(p)
 
 
 def shuffle_width(spark: SparkSession) -> int:
