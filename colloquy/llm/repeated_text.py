@@ -43,7 +43,7 @@ class Shape:
 
     def __init__(self, length: int):
         self.length = length
-        self.gram = max(8, length * 8 // 25)
+        self.gram = min(length, max(8, length * 8 // 25))
         self.window = length - self.gram + 1  # grams of a window
         self.part = -(-self.window // PARTS)
 
@@ -82,7 +82,7 @@ def anchors(buf: np.ndarray, off: np.ndarray, shape: Shape):
     return place, grams[place], start[head], start[np.append(head[1:] - 1, len(at) - 1)]
 
 
-_OCCURRENCE = "anchor long, ctx long, c0 int, c1 int, c2 int, c3 int, t1 long, t2 long, pos int, first int, last int"
+_OCCURRENCE = "anchor long, ctx long, c0 int, c1 int, c2 int, c3 int, t1 long, t2 long, first int, last int, pos array<int>"
 
 
 def _occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
@@ -112,8 +112,16 @@ def _occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
                     a, b = np.where(has, p - small, p), np.where(has, p - large + shape.length, p)
                     h = (tb.mix((total[b] - total[a]) * down[a]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
                     cores.append(np.where(has, h, np.uint32(0)).view(np.int32))
-                columns = [gram.view(np.int64), around.view(np.int64), *cores, t1[i + row], t2[i + row], *((x - begin).astype(np.int32) for x in (p, first, last))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in _OCCURRENCE.split(", ")])
+                # one row for the first place of equal surroundings in a text, and one for its other places
+                order = np.lexsort((p, around, gram, row))
+                new = np.append(True, (row[order][1:] != row[order][:-1]) | (gram[order][1:] != gram[order][:-1]) | (around[order][1:] != around[order][:-1]))[: len(order)]
+                heads = np.flatnonzero(new)
+                several = heads[np.diff(np.append(heads, len(order))) > 1]
+                starts = np.sort(np.concatenate([heads, several + 1]))
+                at = order[starts]
+                columns = [gram[at].view(np.int64), around[at].view(np.int64), *(c[at] for c in cores), t1[i + row[at]], t2[i + row[at]], *((x[at] - p[at]).astype(np.int32) for x in (first, last))]
+                places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array((p - begin)[order].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), places], [f.split()[0] for f in _OCCURRENCE.split(", ")])
 
     return docs.select("t1", "t2", "text").mapInArrow(run, _OCCURRENCE)
 
@@ -170,13 +178,15 @@ def _sorted_marks(pieces: DataFrame, shape: Shape) -> DataFrame:
                 at = np.arange(of[0][5], of[0][6] + 1) if len(of) > 1 else starts.get(id(of), ())
                 runs = list(zip(*cover(np.asarray(at, np.int64), shape.length)))
                 for r in of:
+                    if r[7] > 1:
+                        continue  # its whole surroundings are marked already
                     for a, b in runs:
                         for c, v in zip(out, (r[1], r[2], a, b)):
                             out[c].append(int(v))
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], list(out))
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "anchor", "ctx", "bytes", "lo", "first", "last"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "anchor", "ctx", "bytes", "lo", "first", "last", "times"))):
                 if held >= SHARD_BYTES and row[0] != key:
                     yield solve()
                     rows, held = [], 0
@@ -203,24 +213,29 @@ def repeated_spans(docs: DataFrame, length: int, stages: Stages) -> tuple[DataFr
     texts = stages.keep(docs.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")), "texts")
     copied = texts.where("n > 1").select("t1", "t2")
     found = stages.keep(keep_shared(_occurrences(docs, shape), "anchor"), "occurrences")
-    rep = F.min(F.struct("t1", "t2", "pos", "first", "last", "c0", "c1", "c2", "c3")).alias("rep")
+    rep = F.min(F.struct("t1", "t2", F.col("pos")[0].alias("pos"), "first", "last", "c0", "c1", "c2", "c3")).alias("rep")
     around = stages.keep(found.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), rep), "surroundings")
-    alike = around.where("n > 1").select("anchor", "ctx", F.lit(1 - shape.window).alias("a"), F.lit(length).alias("b"))
+    run = lambda a, b: F.array(F.struct(a.cast("int").alias("a"), b.cast("int").alias("b")))
+    alike = around.where("n > 1").select("anchor", "ctx", run(F.lit(1 - shape.window), F.lit(length)).alias("runs"))
 
-    varied = keep_shared(around.select("anchor", "ctx", "rep.*"), "anchor")
-    cores = varied.select("anchor", "ctx", "t1", "t2", "pos", "first", "last", F.posexplode(F.array("c0", "c1", "c2", "c3")).alias("part", "core")).where("core <> 0")
+    varied = keep_shared(around.select("anchor", "ctx", F.col("n").alias("times"), "rep.*"), "anchor")
+    cores = varied.select("anchor", "ctx", "times", "t1", "t2", "pos", "first", "last", F.posexplode(F.array("c0", "c1", "c2", "c3")).alias("part", "core")).where("core <> 0")
     cores = stages.keep(keep_shared(cores.withColumn("key", F.xxhash64("anchor", "part", "core")), "key"), "cores")
     small = F.col("part") * shape.part
     large = F.least((F.col("part") + 1) * shape.part, F.lit(shape.window)) - 1
-    cores = cores.withColumns({"lo": F.greatest(F.col("pos") - large, F.lit(0)), "hi": F.col("pos") - small + length})
-    cores = cores.withColumns({"first": F.greatest("first", "lo"), "last": F.least("last", F.col("pos") - small)})
+    cores = cores.withColumns({"lo": F.greatest(-large, -F.col("pos")), "hi": length - small})
+    cores = cores.withColumns({"first": F.greatest("first", "lo"), "last": F.least("last", -small)})
     cores = cores.join(texts.select("t1", "t2", F.coalesce("doc_id", F.lit(-(2**63))).alias("row")), ["t1", "t2"])
     whole = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("row"), "t1", "t2", F.col("text").cast("binary").alias("raw"))
-    pieces = cores.join(whole, ["row", "t1", "t2"]).select("key", "anchor", "ctx", F.expr("substring(raw, lo + 1, hi - lo)").alias("bytes"), *((F.col(c) - F.col("pos")).alias(c) for c in ("lo", "first", "last")))
-    marks = stages.keep(_sorted_marks(pieces, shape), "marks").unionByName(alike)
-    spans = found.join(marks, ["anchor", "ctx"]).select("t1", "t2", F.struct((F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b")).alias("span"))
+    pieces = cores.join(whole, ["row", "t1", "t2"]).select("key", "anchor", "ctx", "times", F.expr("substring(raw, pos + lo + 1, hi - lo)").alias("bytes"), "lo", "first", "last")
+    marks = stages.keep(_sorted_marks(pieces, shape), "marks").groupBy("anchor", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    moved = F.flatten(F.transform("pos", lambda p: F.transform("runs", lambda r: F.struct((p + r.a).alias("a"), (p + r.b).alias("b")))))
+    spans = found.join(marks.unionByName(alike), ["anchor", "ctx"]).select("t1", "t2", moved.alias("spans"))
     spans = spans.join(copied, ["t1", "t2"], "left_anti")
-    return copied, stages.keep(spans.distinct().groupBy("t1", "t2").agg(F.collect_list("span").alias("spans")), "spans")
+    copied = stages.keep(copied, "copied")
+    spans = stages.keep(spans.groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
+    stages.only("copied", "spans")
+    return copied, spans
 
 
 def _merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
