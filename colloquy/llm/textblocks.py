@@ -28,6 +28,12 @@ NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = NOT_ALNUM[128:] = Fals
 NOT_LETTER = NOT_ALNUM.copy()
 NOT_LETTER[48:58] = True
 
+#: ASCII letters, and the other ASCII bytes that are no white space: a tokenizer's letter run ends between them.
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
+ASCII_OTHER = ~ASCII_LETTER & ~WHITE
+ASCII_OTHER[128:] = False
+
 #: Bytes handled at once, so that temporaries stay near 100 MB.
 CHUNK_BYTES = 3 << 20
 

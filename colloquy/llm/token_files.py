@@ -82,11 +82,25 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return doc_ids, nulls.astype(bool), counts, table[values] if n else np.zeros(0, np.uint32)
 
 
+def lower_ascii_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """buf with words of ASCII only in lower case, as the tokenizer puts them itself."""
+    high = np.concatenate([[0], np.cumsum(buf >= 128)])
+    wide = np.flatnonzero(high[ends] > high[starts])
+    low = tb.LOWER[buf]
+    mark = np.zeros(len(buf) + 1, np.int32)
+    mark[starts[wide]] += 1
+    mark[ends[wide]] -= 1
+    keep = np.cumsum(mark)[:-1] > 0
+    low[keep] = buf[keep]
+    return low
+
+
 class WordTokenizer:
     """A tokenizers-library file, called once for each distinct word.
 
     Its normaliser and splitter never join text across ASCII white space, so the
-    ids of a text are those of its words.
+    ids of a text are those of its words; nor do they depend on what follows a run of
+    ASCII letters, nor on the case of ASCII words.
     """
 
     def __init__(self, path: str):
@@ -109,8 +123,13 @@ class WordTokenizer:
         """(first row, last row, ids, each row's offset into them) for chunks of the rows at off."""
         spans, parts = list(tb.chunks(off)), []
         for i, j in spans:
-            part = buf[off[i] : off[j]]
-            parts.append((part, *tb.word_spans(part, off[i : j + 1] - off[i])))
+            part, local = buf[off[i] : off[j]], off[i : j + 1] - off[i]
+            starts, ends, _ = tb.word_spans(part, local)
+            low = lower_ascii_words(part, starts, ends)
+            cut = np.flatnonzero(tb.ASCII_LETTER[part[:-1]] & tb.ASCII_OTHER[part[1:]]) + 1
+            cut = cut[~np.isin(cut, local)]  # where one text ends and the next begins is no cut within a word
+            starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+            parts.append((low, starts, ends, np.searchsorted(starts, local)))
         for (i, j), (ids, at), part in zip(spans, self.cache.encode([p[:3] for p in parts]), parts):
             yield i, j, ids, at[part[3]]
 

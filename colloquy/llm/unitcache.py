@@ -13,8 +13,8 @@ import numpy as np
 
 from . import textblocks as tb
 
-#: Units kept for each worker (about 30 MB); beyond that it starts anew.
-CACHE_UNITS = 1 << 20
+#: Units kept for each worker (about 90 MB); beyond that it starts anew.
+CACHE_UNITS = 1 << 21
 
 
 def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
