@@ -178,12 +178,14 @@ class MergeReplay:
         """Starts of stretches that the pattern splits alike in and out of context.
 
         White space joins what follows only by its last character, so a text may
-        be cut where white space begins and before its last character.
+        be cut where white space begins and before its last character; and where a run
+        of ASCII letters ends, which every alternative of the pattern respects.
         """
         white = tb.WHITE[buf]
         cut = np.zeros(len(buf), bool)
         cut[1:] = white[1:] & ~white[:-1]
         cut[:-1] |= white[:-1] & ~white[1:]
+        cut[1:] |= tb.ASCII_LETTER[buf[:-1]] & tb.ASCII_OTHER[buf[1:]]
         heads = off[:-1][np.diff(off) > 0]
         ends = off[1:][np.diff(off) > 0] - 1
         cut[ends] = cut[ends] & np.where(ends > 0, ~white[ends - 1], True)  # white space at the very end stays whole
