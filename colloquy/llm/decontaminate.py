@@ -1,11 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of the test items is counted over all documents; of each item the
-rarest half of its n-grams become seeds. Where several seeds of one item meet a
-document, the passage around them is aligned to the item word by word (match +2,
-mismatch -1, gap -1), so that paraphrased and edited copies score high as well.
-A document is contaminated by an item if the best local alignment reaches
-``ratio`` of the item's score against itself.
+Every n-gram of a test item is a seed. A choice of the rarest would lose copies:
+n-grams that no document holds are rarest of all, and beside a whole copy the
+n-grams that an edited copy keeps are the more frequent ones. Where several seeds
+of one item meet a document, the passage around them is aligned to the item word by
+word (match +2, mismatch -1, gap -1), so that paraphrased and edited copies score
+high as well. A document is contaminated by an item if the best local alignment
+reaches ``ratio`` of the item's score against itself; a copy that keeps fewer than
+``least_seeds`` of the item's n-grams is not met.
 
 Items are taken in blocks of at most BLOCK_ITEMS, so what a task holds never grows
 with the number of items; more items mean more passes.
@@ -66,17 +68,6 @@ class Seeds:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
-    def rarest(self, counts: np.ndarray) -> None:
-        """Keep the rarest half of each item's n-grams; counts: of keys, over the corpus."""
-        each = np.repeat(counts, self.size)
-        order = np.lexsort((self.grams, each, self.item))
-        item = self.item[order]
-        starts = np.flatnonzero(np.append(True, item[1:] != item[:-1])) if len(item) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(starts, len(item)))
-        rank = np.arange(len(item)) - np.repeat(starts, sizes)
-        keep = order[rank < np.repeat(np.maximum((sizes + 1) // 2, np.minimum(sizes, 8)), sizes)]
-        self._sort(self.grams[keep], self.item[keep], self.place[keep])
-
     def hits(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in g that hold a key, and which key."""
         at = np.flatnonzero(self.filter[(g >> np.uint64(44)).astype(np.int64)])
@@ -156,25 +147,8 @@ def _block(docs: DataFrame, seeds: Seeds, ratio: float, least_seeds: int) -> Dat
     sc = docs.sparkSession.sparkContext
     every = sc.broadcast(seeds)
 
-    def count(batches):
-        s = every.value
-        total = np.zeros(len(s.keys), np.int64)
-        for batch in batches:
-            buf, off = tb.as_bytes(batch.column("text"))
-            for i, j in tb.chunks(off):
-                words, _ = _document_words(buf[off[i] : off[j]], off[i : j + 1] - off[i])
-                total += np.bincount(s.hits(tb.grams(words, s.n))[1], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"key": pa.array(some, pa.int64()), "n": pa.array(total[some], pa.int64())})
-
-    counts = np.zeros(len(seeds.keys), np.int64)
-    for key, n in docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n")).collect():  # n-grams of a block
-        counts[key] = n
-    seeds.rarest(counts)
-    rare = sc.broadcast(seeds)
-
     def match(batches):
-        s = rare.value
+        s = every.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             buf, off = tb.as_bytes(batch.column("text"))

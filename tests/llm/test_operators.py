@@ -207,6 +207,26 @@ def test_decontamination(spark):
     assert got == {(10 * i + e, i) for i in range(6) for e in (0, 1)} | {(90, 6), (None, 0)}
 
 
+@pytest.mark.parametrize("whole", [False, True])
+@pytest.mark.parametrize("share", [0.2, 0.25, 0.3])
+def test_decontamination_edited(spark, share, whole):
+    """Copies with many words replaced, as the only ones or beside a whole copy of each item."""
+    rng = random.Random(17)
+    items = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))) for i in range(40)]
+    texts, expected = [], set()
+    for i, t in items:
+        item = t.split()
+        edited = [f"v{rng.randrange(10**6)}" if rng.random() < share else w for w in item]
+        texts += [(2 * i, sentence(rng, 80) + " " + " ".join(edited) + " " + sentence(rng, 50))] + [(2 * i + 1, t)] * whole
+        n_seeds = sum(edited[j : j + 3] == item[j : j + 3] for j in range(38))
+        if n_seeds >= 2 and brute_align(item, edited) >= 40:
+            expected.add((2 * i, i))
+        expected |= {(2 * i + 1, i)} if whole else set()
+    assert len(expected) >= 25 * (1 + whole)
+    found = decontaminate.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
 def test_quality_held_out(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     scored = quality.score(docs, quality.fit(docs, labels)).join(labels, "doc_id").where("held_out").collect()
