@@ -46,9 +46,10 @@ _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 class Index:
     """The fitted code and the search in one shard."""
 
-    def __init__(self, sample: np.ndarray, k: int):
+    def __init__(self, sample: np.ndarray, k: int, longest: float):
+        """longest: the greatest length of all vectors that will be searched, in the sample or not."""
         d = sample.shape[1]
-        self.longest = float(np.sqrt((sample**2).sum(axis=1)).max(initial=0))
+        self.longest = longest
         rng = np.random.default_rng(3)
         x = self._unit(sample)
         self.mean = np.zeros(d + 1)
@@ -144,8 +145,7 @@ def _of_length(rows: DataFrame, queries: DataFrame, d: int, n: int, k: int, ever
     longest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0] or 0.0
     fitted = np.array([r[0] for r in sample.collect()]).reshape(-1, d)
     fitted = fitted[np.lexsort(fitted.T)] if len(fitted) else fitted
-    index = Index(fitted, k)
-    index.longest = max(index.longest, float(np.sqrt(longest)))
+    index = Index(fitted, k, float(np.sqrt(longest)))
     shared = spark.sparkContext.broadcast(index)
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n // (every * BLOCK_QUERIES)))
     all_of = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)

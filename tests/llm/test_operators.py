@@ -299,6 +299,32 @@ def test_nearest(spark):
     assert hits >= 0.9 * 300 and set(by) == set(range(0, 600, 20))
 
 
+def recall_at_k(spark, v, k, every=20):
+    found = hamming_search.nearest(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "vec_id long, embedding array<double>"), k=k, every=every).collect()
+    got = defaultdict(set)
+    for r in found:
+        got[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, len(v), every):
+        score = v @ v[q]
+        score[q] = -np.inf
+        hits.append(len(got[q] & set(np.argpartition(-score, k)[:k].tolist())))
+    return sum(hits) / (k * len(hits))
+
+
+@pytest.mark.parametrize("length", [2, 10])
+def test_nearest_longest_outside_sample(spark, length):
+    """More rows than the sample holds; the one longest vector is not in it."""
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((8_000, 64))
+    v /= np.sqrt((v**2).sum(axis=1, keepdims=True))
+    share = hamming_search.SAMPLE_ROWS / len(v)
+    ids = spark.range(len(v)).selectExpr("id", f"pmod(xxhash64(id, 5), 1000000) < {int(share * 1_000_000)} as sampled")
+    outside = ids.where("not sampled and id % 20 <> 0").first().id
+    v[outside] *= length
+    assert recall_at_k(spark, v, 20) >= 0.9
+
+
 def brute_repair(roles):
     """Least cost over all relabellings and cuts, by trying them all."""
     best = None
