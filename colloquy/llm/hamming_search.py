@@ -10,7 +10,9 @@ retrieves every code within r. What is retrieved within r is ranked by the exact
 inner product of the original vectors, in double precision.
 
 The radius is the one within which a fitting sample finds RECALL of its true
-neighbours. Rows are dealt to shards and queries to blocks of bounded size; each
+neighbours. For a query that finds fewer than k rows within it over all shards, it
+grows in steps of SUBSTRINGS bits, up to all bits, until each shard gives k rows or
+all it has. Rows are dealt to shards and queries to blocks of bounded size; each
 shard meets each block once. A vector that very many rows share takes part with
 its k + 1 smallest ids, which are all that any result can show.
 
@@ -29,6 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .staging import Stages
 
 #: Vectors that the rotation and radius are fitted on, at most.
 SAMPLE_ROWS = 4_000
@@ -81,11 +84,10 @@ class Index:
     def code(self, v: np.ndarray, query: bool) -> np.ndarray:
         return self._bits(np.concatenate([v, np.zeros((len(v), 1))], axis=1) if query else self._unit(v))
 
-    def search(self, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        """(query_id, vec_id, score) of at most k nearest found rows of each query."""
-        codes, asked = self.code(rows, False), self.code(queries, True)
-        near, extra = divmod(self.radius, SUBSTRINGS)
-        hits = np.zeros((len(queries), len(rows)), bool)
+    def _retrieved(self, codes: np.ndarray, asked: np.ndarray, radius: int) -> np.ndarray:
+        """For each query, which rows the buckets hold that are probed for this radius."""
+        near, extra = divmod(radius, SUBSTRINGS)
+        hits = np.zeros((len(asked), len(codes)), bool)
         values = np.arange(256)
         for s in range(SUBSTRINGS):
             reach = near if s <= extra else near - 1
@@ -96,20 +98,35 @@ class Index:
             for value in np.unique(asked[:, s]):
                 probes = np.flatnonzero(_POPCOUNT[values ^ value] <= reach)
                 found = np.concatenate([bucket[bounds[p] : bounds[p + 1]] for p in probes])
-                retrieved = np.zeros(len(rows), bool)
+                retrieved = np.zeros(len(codes), bool)
                 retrieved[found] = True
                 hits[asked[:, s] == value] |= retrieved
+        return hits
+
+    def search(self, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, widen: bool):
+        """(place of the query, vec_id, score) of at most k nearest found rows of each query.
+
+        widen: let the radius of a query grow until it finds k rows, or all there are.
+        """
+        codes, asked = self.code(rows, False), self.code(queries, True)
         wide, own = codes.view(np.uint64), asked.view(np.uint64)
         out = []
-        for q in range(len(queries)):
-            c = np.flatnonzero(hits[q])
-            c = c[np.bitwise_count(wide[c] ^ own[q]).sum(axis=1) <= self.radius]
-            c = c[ids[c] != query_ids[q]]
-            score = (rows[c] * queries[q]).sum(axis=1)
-            if len(c) > k:  # all that tie with the k-th are still there
-                c, score = (x[score >= np.partition(score, -k)[-k]] for x in (c, score))
-            best = np.lexsort((ids[c], -score))[:k]
-            out.append((np.full(len(best), query_ids[q]), ids[c[best]], score[best]))
+        left, radius = np.arange(len(queries)), self.radius
+        while len(left):
+            again = []
+            for q, hit in zip(left.tolist(), self._retrieved(codes, asked[left], radius)):
+                c = np.flatnonzero(hit)
+                c = c[np.bitwise_count(wide[c] ^ own[q]).sum(axis=1) <= radius]
+                c = c[ids[c] != query_ids[q]]
+                if widen and radius < BITS and len(c) < k and len(c) < (ids != query_ids[q]).sum():
+                    again.append(q)
+                    continue
+                score = (rows[c] * queries[q]).sum(axis=1)
+                if len(c) > k:  # all that tie with the k-th are still there
+                    c, score = (x[score >= np.partition(score, -k)[-k]] for x in (c, score))
+                best = np.lexsort((ids[c], -score))[:k]
+                out.append((np.full(len(best), q), ids[c[best]], score[best]))
+            left, radius = np.array(again, np.int64), min(BITS, radius + SUBSTRINGS)
         return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
 
 
@@ -148,9 +165,24 @@ def _of_length(rows: DataFrame, queries: DataFrame, d: int, n: int, k: int, ever
     index = Index(fitted, k, float(np.sqrt(longest)))
     shared = spark.sparkContext.broadcast(index)
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n // (every * BLOCK_QUERIES)))
+    queries = queries.select("vec_id", "v", F.xxhash64("v").alias("form"))  # a repeated vec_id asks with each of its vectors
+    if shards == 1:
+        return _search(rows, queries, shared, d, k, 1, blocks, True).drop("form")
+    stages = Stages(spark)
+    found = stages.keep(_search(rows, queries, shared, d, k, shards, blocks, False), "found")
+    full = found.groupBy(F.col("query_id").alias("vec_id"), "form").count().where(F.col("count") >= k)
+    few = stages.keep(queries.join(full, ["vec_id", "form"], "left_anti"), "few")
+    if asking := few.count():
+        more = _search(rows, few, shared, d, k, shards, -(-asking // BLOCK_QUERIES), True)
+        found = found.join(few.select(F.col("vec_id").alias("query_id"), "form"), ["query_id", "form"], "left_anti").unionByName(more)
+    return found.drop("form")
+
+
+def _search(rows: DataFrame, queries: DataFrame, shared, d: int, k: int, shards: int, blocks: int, widen: bool) -> DataFrame:
+    """query_id, form, vec_id, score: the k nearest found rows of each query in each shard."""
     all_of = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)
     left = rows.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"), all_of(blocks, "block"))
-    right = queries.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(blocks)).cast("int").alias("block"), all_of(shards, "shard"))
+    right = queries.select(F.col("vec_id").alias("query_id"), "form", F.col("v").alias("asked"), F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(blocks)).cast("int").alias("block"), all_of(shards, "shard"))
 
     def matrix(column) -> np.ndarray:
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -158,8 +190,9 @@ def _of_length(rows: DataFrame, queries: DataFrame, d: int, n: int, k: int, ever
 
     def run(key, a, b):
         if not a.num_rows or not b.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        q, v, s = shared.value.search(a.column("vec_id").to_numpy(), matrix(a.column("v")), b.column("vec_id").to_numpy(), matrix(b.column("v")), k)
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
+            return pa.table({"query_id": pa.array([], pa.int64()), "form": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        ids, form = b.column("query_id").to_numpy(), b.column("form").to_numpy()
+        q, v, s = shared.value.search(a.column("vec_id").to_numpy(), matrix(a.column("v")), ids, matrix(b.column("asked")), k, widen)
+        return pa.table({"query_id": pa.array(ids[q], pa.int64()), "form": pa.array(form[q], pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
+    return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run, "query_id long, form long, vec_id long, score double")

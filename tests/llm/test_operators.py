@@ -325,6 +325,22 @@ def test_nearest_longest_outside_sample(spark, length):
     assert recall_at_k(spark, v, 20) >= 0.9
 
 
+@pytest.mark.parametrize("shard_rows", [20_000, 150])
+def test_nearest_all_of_k(spark, monkeypatch, shard_rows):
+    """Queries far from tight clusters, and tables of few vectors, still get k rows or all candidates."""
+    monkeypatch.setattr(hamming_search, "SHARD_ROWS", shard_rows)
+    rng = np.random.default_rng(6)
+    v = np.repeat(rng.standard_normal((12, 32)), 50, axis=0) + 0.01 * rng.standard_normal((600, 32))
+    v[::100] = rng.standard_normal((6, 32))
+    for n in (600, 25, 12):
+        found = hamming_search.nearest(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v[:n])], "vec_id long, embedding array<double>"), k=20, every=20).collect()
+        by = defaultdict(set)
+        for r in found:
+            by[r.query_id].add((r.rank, r.vec_id))
+        assert {q: len(x) for q, x in by.items()} == {q: min(20, n - 1) for q in range(0, n, 20)}
+        assert all(sorted(r for r, _ in x) == list(range(1, len(x) + 1)) and len({i for _, i in x} - {q}) == len(x) for q, x in by.items())
+
+
 def brute_repair(roles):
     """Least cost over all relabellings and cuts, by trying them all."""
     best = None
