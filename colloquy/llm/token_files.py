@@ -100,14 +100,15 @@ class WordTokenizer:
 
     Its normaliser and splitter never join text across ASCII white space, so the
     ids of a text are those of its words; nor do they depend on what follows a run of
-    ASCII letters, nor on the case of ASCII words.
+    ASCII letters, nor on the case of ASCII words. Words that hold an added token, in
+    any case, go to the library whole and as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content.lower().encode() for t in self.library.get_added_tokens_decoder().values()]
         self.cache = UnitCache(self.tokenize)
 
     def tokenize(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,6 +120,16 @@ class WordTokenizer:
                 counts.append(len(e.ids))
         return np.array(ids, np.uint32), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
+    def holding_added(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The words that hold an added token in any case."""
+        text, words = tb.LOWER[buf].tobytes(), []
+        for token in self.added:
+            at = text.find(token)
+            while at >= 0:
+                words.append(int(np.searchsorted(starts, at, "right")) - 1)
+                at = text.find(token, int(ends[words[-1]]))
+        return np.unique(np.array(words, np.int64))
+
     def encode(self, buf: np.ndarray, off: np.ndarray):
         """(first row, last row, ids, each row's offset into them) for chunks of the rows at off."""
         spans, parts = list(tb.chunks(off)), []
@@ -126,8 +137,12 @@ class WordTokenizer:
             part, local = buf[off[i] : off[j]], off[i : j + 1] - off[i]
             starts, ends, _ = tb.word_spans(part, local)
             low = lower_ascii_words(part, starts, ends)
+            whole = self.holding_added(part, starts, ends)
+            for w in whole:
+                low[starts[w] : ends[w]] = part[starts[w] : ends[w]]
             cut = np.flatnonzero(tb.ASCII_LETTER[part[:-1]] & tb.ASCII_OTHER[part[1:]]) + 1
             cut = cut[~np.isin(cut, local)]  # where one text ends and the next begins is no cut within a word
+            cut = cut[~np.isin(np.searchsorted(starts, cut, "right") - 1, whole)]
             starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
             parts.append((low, starts, ends, np.searchsorted(starts, local)))
         for (i, j), (ids, at), part in zip(spans, self.cache.encode([p[:3] for p in parts]), parts):

@@ -176,6 +176,17 @@ def test_token_files(spark, docs, rows, tmp_path):
         start += len(ids)
 
 
+def test_token_files_added_tokens(spark, tmp_path):
+    """Added tokens in a text, against the library as it is."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORD)
+    texts = ["see <|endoftext|> here", "See<|endoftext|>HERE it's", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> a<|EndOfText|>b", "É<|endoftext|>É don't", "plain <|endoftext| >", "<|endof", "text|>", "end<|startoftext|>", "see here"]
+    token_files.write_token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORD, str(tmp_path / "t"))
+    got = {r.doc_id: r.ids for r in token_files.read_token_files(spark, str(tmp_path / "t"), with_ids=True).collect()}
+    assert got == {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
 def brute_align(item, passage):
     best, above = 0, [0] * (len(passage) + 1)
     for w in item:
