@@ -149,7 +149,7 @@ def _overlap_needed(a: str, b: str, percent: int):
 
 
 def _bounded(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of representatives whose buckets leave room for the overlap."""
+    """Pairs (a, b) of representatives whose bitmaps and buckets leave room for the overlap."""
 
     @F.pandas_udf("boolean")
     def possible(x, y, needed):
@@ -161,8 +161,10 @@ def _bounded(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
         return pd.Series((low.sum(axis=1, dtype=np.int64) >= needed.to_numpy()) | (low == 255).any(axis=1))
 
-    side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bound").alias(f"bound_{c}"))
+    side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bound").alias(f"bound_{c}"), *(F.col(m).alias(f"{m}_{c}") for m in PARITY))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    apart = " + ".join(f"bit_count({m}_a ^ {m}_b)" for m in PARITY)
+    joined = joined.where(F.expr(apart) <= F.expr("n_a + n_b") - 2 * _overlap_needed("n_a", "n_b", percent))
     return joined.where(possible("bound_a", "bound_b", _overlap_needed("n_a", "n_b", percent))).select("a", "b")
 
 
@@ -241,14 +243,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
     # cross pass: what shares a shingle but not yet a component, pair by pair
     labelled = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    of_group = labelled.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    tagged = stages.keep(shared.join(of_group, "gid").select("token", "gid", "n", "pos", "lo", "hi", *PARITY), "tagged")
+    of_group = labelled.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), (F.count("*") == 1).alias("alone"))
+    tagged = stages.keep(shared.join(of_group, "gid").select("token", "gid", "n", "pos", "lo", "hi", "alone", *PARITY), "tagged")
     mixed = tagged.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("token")
     tagged = tagged.join(mixed, "token", "left_semi")
     x, y = tagged.alias("x"), tagged.alias("y")
     crossed = x.join(y, F.expr(f"x.token = y.token and (x.n, x.gid) < (y.n, y.gid) and 100 * x.n >= {percent} * y.n and not (x.lo = x.hi and x.lo = y.lo and y.lo = y.hi)"))
     apart = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in PARITY)
-    crossed = crossed.where(F.expr(apart) <= F.expr("x.n + y.n") - 2 * _overlap_needed("x.n", "y.n", percent))
+    # the bitmaps are of a group's first set and say nothing of other members
+    crossed = crossed.where(F.expr("not (x.alone and y.alone)") | (F.expr(apart) <= F.expr("x.n + y.n") - 2 * _overlap_needed("x.n", "y.n", percent)))
     # of a pair that reaches the similarity, the first common shingle leaves room for the overlap behind it
     crossed = crossed.where(F.expr("least(x.n - x.pos, y.n - y.pos)") >= _overlap_needed("x.n", "y.n", percent))
     group_pairs = crossed.select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()

@@ -81,6 +81,20 @@ def test_jaccard(docs, rows, k, percent):
     assert got == brute_components(rows, k, percent)
 
 
+def test_jaccard_members_of_a_group(spark, monkeypatch):
+    """A and A' share prefix and size, only A' is near B: the cross pass alone must link it."""
+    bands = ngram_jaccard._neighbours
+    monkeypatch.setattr(ngram_jaccard, "_neighbours", lambda *a: bands(*a).where("false"))
+    rng = random.Random(5)
+    rare, common = [f"p{i}" for i in range(31)], [f"c{i}" for i in range(400)]
+    first, second = common[:169], common[169:338]
+    texts = [[*rare[:-1], "b", *second], [*rare, *first], [*rare, *second]]
+    texts += [rng.sample(common, 300) + [f"f{j}x{i}" for i in range(200)] for j in range(30)]  # make the common words frequent
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85).collect()}
+    assert got == brute_components(rows, 1, 85) and got[2][1] == 0 and got[1][1] == 1
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 3), min_size=1, max_size=80), st.sampled_from([4, 20, 400]), st.sampled_from([7, 10**6]))
 def test_suffix_order(symbols, depth, limit):
