@@ -8,7 +8,9 @@ not. It is trained here, once for each driver, on generated pages whose labels a
 known (``make_page``), and its weights, some 100 KB whatever the data, are broadcast.
 
 Defined cases: null and empty html, and pages without article blocks, give an
-empty text; markup that the page ends in the middle of is dropped; a "<" that
+empty text; br ends a block; a page of any length is read whole, all words and all
+open elements of each block included; a share of exactly one half is no article; an
+empty table gives an empty result; markup that the page ends in the middle of is dropped; a "<" that
 starts no markup is text; repeated rows each return a row; extra columns are
 ignored.
 """
@@ -39,7 +41,6 @@ SCOPES = frozenset("article aside body div dl footer form header html main nav o
 CLOSES |= {t: {"p"} for t in (*SCOPES, "h1", "h2", "h3", "h4", "h5", "h6", "pre", "hr", "figure")}
 
 PATH_SLOTS, WORD_SLOTS = 512, 512
-PATH_DEPTH = 12
 
 
 def _slot(text: str, slots: int) -> int:
@@ -51,6 +52,11 @@ def _path_slot(text: str) -> int:
     return _slot(text, PATH_SLOTS)
 
 
+@lru_cache(maxsize=200_000)
+def _word_slot(text: str) -> int:
+    return _slot(text, WORD_SLOTS)
+
+
 class Block:
     __slots__ = ("text", "path", "linked")
 
@@ -77,7 +83,7 @@ def blocks(page: str | None) -> list[Block]:
     def add(text: str) -> None:
         if text:
             if not parts:
-                where[0] = tuple(s for _, slots in stack[-PATH_DEPTH:] for s in slots)
+                where[0] = tuple(s for _, slots in stack for s in slots)
             parts.append((text, links > 0))
 
     page = page or ""
@@ -178,6 +184,9 @@ def make_page(rng: random.Random) -> tuple[str, list[int]]:
     head = rng.choice(["", f"<head><title>{line(8)}</title><style>p{{margin:0}}</style></head>", f'<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{line(8)}</title></head>'])
     opening, closing = rng.choice(_MAIN)
     inner_junk = ["ad", "side", "form", "notice"] if rng.random() < 0.3 else []
+    if rng.random() < 0.06:  # nothing but the text itself
+        marked = _tagged(body(), chr(0xE000))
+        return marked.replace(chr(0xE000), ""), [int(chr(0xE000) in b.text) for b in blocks(marked)]
     top = "<body>" + part(["notice", "header", "nav", "ad"], 1)
     first, second = body(), body() if rng.random() < 0.5 else ""
     middle = part(inner_junk, 1)
@@ -213,12 +222,12 @@ class Vectors:
         for r, page in enumerate(pages):
             self.filled[r, : len(page)] = 1
             for c, b in enumerate(page):
-                words = _WORD.findall(b.text.lower()[:400])[:24]
+                words = _WORD.findall(b.text.lower())
                 size = len(b.text)
                 self.plain[r, c] = (min(size, 2000) / 500, b.linked, sum(b.text.count(x) for x in ".!?") / max(size, 1) * 20, min(len(words), 20) / 20, c / len(page), 1 / (1 + c))
                 at = r * t + c
                 path += [(at, s, 1 / max(1, len(b.path))) for s in b.path]
-                word += [(at, _slot(w, WORD_SLOTS), 1 / len(words)) for w in words]
+                word += [(at, _word_slot(w), 1 / len(words)) for w in words]
         self.path = _sparse(path)
         self.word = _sparse(word)
 
