@@ -1,13 +1,16 @@
 """Language identification by words first, then shorter and shorter n-grams.
 
 A word that the model knows scores its log frequency in each language. An unseen
-word scores, for each of its characters' bytes, the longest n-gram (4 down to 1)
-ending there that the model knows. The model is fitted on a bounded sample of the
-labelled documents (SAMPLE_DOCS); prediction reads every word of every text.
+word scores, for each of its characters, the longest n-gram of characters (4 down
+to 1) ending there that the model knows. The model is fitted on a bounded sample of
+the labelled documents of each language (SAMPLE_PER_LANGUAGE), with all their words;
+prediction reads every word of every text.
 
 Defined cases: null text, or text without any letter, is "und" with score 0; so
-is every text when there is nothing to learn from; a null doc_id is not held out
-and not learned from; repeated rows each return a row; extra columns are ignored.
+is every text when there is nothing to learn from; a text of any length is read
+whole; languages that tie are taken in order of their names; a null doc_id is not
+held out and not learned from; repeated rows each return a row; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,19 +18,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import ship
 from . import textblocks as tb
 from .unitcache import ragged
 
-#: Labelled documents that the model is fitted on, at most (expected number).
-SAMPLE_DOCS = 20_000
-#: Known words kept for each language, by frequency.
-WORDS_PER_LANGUAGE = 50_000
-#: Slots of the table of each n-gram order, and the longest order.
-GRAM_BITS = 18
+#: Labelled documents of each language that the model is fitted on, at most (expected number).
+SAMPLE_PER_LANGUAGE = 5_000
+#: Characters of the longest n-grams.
 LONGEST = 4
 
 
@@ -36,20 +35,26 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def _grams(buf: np.ndarray, off: np.ndarray):
-    """Slots of the n-grams that end at each byte of words, for n = 1 to LONGEST; -1 where the word is shorter."""
-    begin = np.repeat(off[:-1], np.diff(off))
-    place = np.arange(len(buf)) - begin
-    code = np.zeros(len(buf), np.uint64)
-    out = []
+def _characters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each UTF-8 character of the words at off as a number (its bytes), and the words' offsets in characters."""
+    head = (buf & 0xC0) != 0x80
+    head[off[:-1][np.diff(off) > 0]] = True
+    at = np.flatnonzero(head)
+    size = np.diff(np.append(at, len(buf)))
+    code = buf[at].astype(np.uint64)
+    for k in range(1, 4):
+        more = size > k
+        code[more] |= buf[at[more] + k].astype(np.uint64) << np.uint64(8 * k)
+    return code, np.searchsorted(at, off)
+
+
+def _grams(code: np.ndarray, off: np.ndarray):
+    """(hashes of the n-grams that end at each character, whether the word is that long) for n = 1 to LONGEST."""
+    place = np.arange(len(code)) - np.repeat(off[:-1], np.diff(off))
+    total = np.zeros(len(code), np.uint64)
     for n in range(1, LONGEST + 1):
-        if n > 1:
-            code[n - 1 :] |= buf[: len(buf) - n + 1].astype(np.uint64) << np.uint64(8 * (n - 1))
-        else:
-            code |= buf.astype(np.uint64)
-        slot = (tb.mix(code + np.uint64(n << 40)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
-        out.append(np.where(place >= n - 1, slot, -1))
-    return out
+        total[n - 1 :] += tb.mix(code[: len(code) - n + 1] + np.uint64(n << 40))
+        yield tb.mix(total + np.uint64(n)), place >= n - 1
 
 
 class Model:
@@ -67,23 +72,31 @@ class Model:
             counts.append(count)
         seen = np.zeros((len(texts), len(languages)))
         np.add.at(seen, (rows, langs), counts)
-        marked = [b"\x02" + w + b"\x03" for w in texts]
         buf = np.frombuffer(b"".join(texts), np.uint8)
         off = np.concatenate([[0], np.cumsum([len(w) for w in texts])]).astype(np.int64)
         keys = tb.span_hashes(buf, off[:-1], off[1:])
         order = np.argsort(keys)
         self.keys = keys[order]
         self.word_scores = self._log(seen)[order].astype(np.float32)
-        buf = np.frombuffer(b"".join(marked), np.uint8)
-        off = np.concatenate([[0], np.cumsum([len(w) for w in marked])]).astype(np.int64)
+        code, off = self._marked(buf, off[:-1], off[1:])
         weights = np.repeat(seen, np.diff(off), axis=0)
-        self.gram_scores, self.gram_known = [], []
-        for slots in _grams(buf, off):
-            some = slots >= 0
-            table = np.stack([np.bincount(slots[some], weights[some, k], 1 << GRAM_BITS) for k in range(len(languages))], axis=1)
-            self.gram_known.append(table.sum(axis=1) > 0)
+        self.gram_keys, self.gram_scores = [], []
+        for grams, some in _grams(code, off):
+            known, of = np.unique(grams[some], return_inverse=True)
+            table = np.stack([np.bincount(of, weights[some, k], len(known)) for k in range(len(languages))], axis=1)
+            self.gram_keys.append(known)
             self.gram_scores.append(self._log(table).astype(np.float32))
 
+    @staticmethod
+    def _marked(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters of the words with a mark at both ends, and the words' offsets."""
+        inner, off = ragged(buf, starts, ends - starts)
+        marked = np.full(len(inner) + 2 * len(starts), 3, np.uint8)
+        wide = off + 2 * np.arange(len(off))
+        marked[np.arange(len(inner)) + 1 + 2 * np.repeat(np.arange(len(starts)), np.diff(off))] = inner
+        marked[wide[:-1]] = 2
+        return _characters(marked, wide)
+
     @staticmethod
     def _log(counts: np.ndarray) -> np.ndarray:
         total = counts.sum(axis=0, keepdims=True)
@@ -91,20 +104,18 @@ class Model:
 
     def unseen(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Backed-off scores of words that are not known."""
-        inner, off = ragged(buf, starts, ends - starts)
-        marked = np.full(len(inner) + 2 * len(starts), 3, np.uint8)
-        wide = off + 2 * np.arange(len(off))
-        marked[np.arange(len(inner)) + 1 + 2 * np.repeat(np.arange(len(starts)), np.diff(off))] = inner
-        marked[wide[:-1]] = 2
-        total = np.zeros((len(marked), len(self.languages)), np.float32)
-        open_ = np.ones(len(marked), bool)
-        slots = _grams(marked, wide)
-        for n in range(LONGEST - 1, -1, -1):
-            use = np.flatnonzero(open_ & (slots[n] >= 0))
-            use = use[self.gram_known[n][slots[n][use]]]
-            total[use] = self.gram_scores[n][slots[n][use]]
-            open_[use] = False
-        return np.add.reduceat(total, wide[:-1], axis=0) if len(starts) else np.zeros((0, len(self.languages)), np.float32)
+        if not len(starts):
+            return np.zeros((0, len(self.languages)), np.float32)
+        code, wide = self._marked(buf, starts, ends)
+        total = np.zeros((len(code), len(self.languages)), np.float32)
+        open_ = np.ones(len(code), bool)
+        for keys, scores, (grams, long) in reversed(list(zip(self.gram_keys, self.gram_scores, _grams(code, wide)))):
+            use = np.flatnonzero(open_ & long)
+            at = np.minimum(np.searchsorted(keys, grams[use]), max(len(keys) - 1, 0))
+            known = keys[at] == grams[use] if len(keys) else np.zeros(len(use), bool)
+            total[use[known]] = scores[at[known]]
+            open_[use[known]] = False
+        return np.add.reduceat(total, wide[:-1], axis=0)
 
     def score(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log scores of the rows at off in each language, and their numbers of words."""
@@ -124,13 +135,15 @@ class Model:
         return out, np.diff(rows)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Learn from text and lang of documents that are not held out."""
+def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
+    """Learn from text and lang of documents that are not held out, ``sample`` of each language at most."""
     ship(docs.sparkSession)
     known = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    n = known.select("doc_id", "lang").count()
-    share = min(1.0, sample_docs / max(n, 1))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    counts = known.groupBy("lang").count().collect()  # one row for each language
+    if not counts:
+        return Model([], [])
+    limits = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, (2**63 - 1) * min(sample, n) // n)))
+    known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) <= F.element_at(limits, F.col("lang")))
 
     def count(batches):
         for batch in batches:
@@ -150,8 +163,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
                     yield pa.RecordBatch.from_pydict({"lang": pa.array([str(name)] * len(words), pa.string()), "word": pa.array(words, pa.binary()), "n": pa.array(times, pa.int64())})
 
     counted = known.select("text", "lang").mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = counted.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= WORDS_PER_LANGUAGE)
-    words = [(r[0], bytes(r[1]), r[2]) for r in top.select("lang", "word", "n").collect()]  # bounded by sample and vocabulary
+    words = [(r[0], bytes(r[1]), r[2]) for r in counted.collect()]  # the vocabulary of the sample
     return Model(sorted({w[0] for w in words}), words)
 
 
