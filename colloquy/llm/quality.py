@@ -1,7 +1,7 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-A text's features are weighted trigrams of character classes (how it is written,
-whatever its language) with a few shares such as repeated words. Labelled texts of
+A text's features are its weighted words (hashed) and trigrams of character classes
+(how it is written, whatever its language) with a few shares such as repeated words. Labelled texts of
 a bounded sample (SAMPLE_PER_CLASS) span a latent space by truncated singular
 value decomposition; their vectors are broadcast (their number is fixed), and every
 document's exact cosine with every one of them is computed in blocks. The NEIGHBOURS
@@ -10,8 +10,10 @@ labelled rows.
 
 Defined cases: null and empty texts are scored like any other, by their zero
 vector's neighbours at similarity 0: the share of label 1; without labels every
-score is 0.5; a null quality or doc_id is not learned from; repeated rows each
-return a row; extra columns are ignored.
+score is 0.5; a text of any length is read whole; of neighbours that tie at the last
+place any may vote, the same ones for equal texts; a null quality or doc_id is not
+learned from; repeated rows each return a row; extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,16 +43,19 @@ _CLASS[128:] = 5
 for _kind, _chars in zip(range(6, 15), [".", ",", "!", "?", "\"'`", "()[]{}<>", "|/\\", "*#&%$@^~_+=", "-:;"]):
     _CLASS[np.frombuffer(_chars.encode(), np.uint8)] = _kind
 TRIGRAMS = 16**3
+#: Slots of the hashed words.
+WORD_BITS = 12
+TERMS = TRIGRAMS + (1 << WORD_BITS)
 SHARES = 8
 
 
 def features(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """A row of trigram counts (damped, length 1) and shares for each row at off."""
+    """A row of trigram and word counts (damped, each of length 1) and shares for each row at off."""
     kinds = _CLASS[buf].astype(np.int64)
     codes = kinds[:-2] * 256 + kinds[1:-1] * 16 + kinds[2:] if len(kinds) > 2 else np.zeros(0, np.int64)
     words, rows = tb.word_hashes(buf, off)
     lines = buf == 10
-    out = np.zeros((len(off) - 1, TRIGRAMS + SHARES), np.float32)
+    out = np.zeros((len(off) - 1, TERMS + SHARES), np.float32)
     for r in range(len(off) - 1):
         a, b = off[r], off[r + 1]
         n = b - a
@@ -60,11 +65,14 @@ def features(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         out[r, :TRIGRAMS] = counts / max(np.sqrt(np.square(counts).sum()), 1e-9)
         tally = np.bincount(kinds[a:b], minlength=16)
         w = words[rows[r] : rows[r + 1]]
+        if len(w):
+            times = np.log1p(np.bincount((w >> np.uint64(64 - WORD_BITS)).astype(np.int64), minlength=TERMS - TRIGRAMS))
+            out[r, TRIGRAMS:TERMS] = times / np.sqrt(np.square(times).sum())
         repeated = 1 - len(tb.distinct(w)) / len(w) if len(w) else 0
         pairs = tb.grams(w, 3)
         looped = 1 - len(tb.distinct(pairs)) / len(pairs) if len(pairs) else 0
         letters = tally[2] + tally[3] + tally[5]
-        out[r, TRIGRAMS:] = (tally[3] / max(letters, 1), tally[4] / n, tally[6:16].sum() / n, tally[13] / n, repeated, looped, lines[a:b].sum() / n, np.log1p(n) / 20)
+        out[r, TERMS:] = (tally[3] / max(letters, 1), tally[4] / n, tally[6:16].sum() / n, tally[13] / n, repeated, looped, lines[a:b].sum() / n, np.log1p(n) / 20)
     return out
 
 
@@ -76,10 +84,10 @@ class Voter:
         self.labels = labels.astype(np.float32)
         if not len(rows):
             return
-        present = (rows[:, :TRIGRAMS] > 0).sum(axis=0)
+        present = (rows[:, :TERMS] > 0).sum(axis=0)
         self.weights = np.ones(rows.shape[1], np.float32)
-        self.weights[:TRIGRAMS] = np.log((1 + len(rows)) / (1 + present))
-        self.weights[TRIGRAMS:] = 2.0
+        self.weights[:TERMS] = np.log((1 + len(rows)) / (1 + present))
+        self.weights[TERMS:] = 2.0
         x = rows * self.weights
         self.mean = x.mean(axis=0)
         x = x - self.mean
@@ -88,8 +96,9 @@ class Voter:
         for _ in range(3):
             y, _ = np.linalg.qr(x @ (x.T @ y))
         _, _, axes = np.linalg.svd(y.T @ x, full_matrices=False)
-        self.axes = np.ascontiguousarray(axes[:DIMENSIONS].T.astype(np.float32))
-        self.vectors = self._unit(x @ self.axes)
+        axes = np.ascontiguousarray(axes[:DIMENSIONS].T.astype(np.float32))
+        self.vectors = self._unit(x @ axes)
+        self.axes, self.origin = self.weights[:, None] * axes, self.mean @ axes
         present = {c: max(1, int((labels == c).sum())) for c in (0, 1)}
         self.votes = np.array([shares.get(int(c), 0) / present[int(c)] for c in labels], np.float32)
         self.votes /= max(self.votes.mean(), 1e-9)
@@ -101,7 +110,7 @@ class Voter:
     def score(self, rows: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(rows), 0.5)
-        vectors = self._unit((rows * self.weights - self.mean) @ self.axes)
+        vectors = self._unit(rows @ self.axes - self.origin)
         vectors[~rows.any(axis=1)] = 0
         out = np.empty(len(rows))
         k = min(NEIGHBOURS, len(self.labels))
@@ -118,8 +127,8 @@ def _feature_rows(batches, extra: list[str]):
     for batch in batches:
         buf, off = tb.as_bytes(batch.column("text"))
         for i, j in tb.chunks(off):
-            for a in range(i, j, 1024):  # 16 KB of features a row
-                b = min(a + 1024, j)
+            for a in range(i, j, 512):  # 32 KB of features a row
+                b = min(a + 512, j)
                 yield [batch.column(c)[a:b] for c in extra], features(buf[off[a] : off[b]], off[a : b + 1] - off[a])
 
 
@@ -134,15 +143,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
         part = known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
-        return Voter(np.zeros((0, TRIGRAMS + SHARES), np.float32), np.zeros(0, int), {})
+        return Voter(np.zeros((0, TERMS + SHARES), np.float32), np.zeros(0, int), {})
 
     def run(batches):
         for (quality,), rows in _feature_rows(batches, ["quality"]):
             yield pa.RecordBatch.from_arrays([quality, pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary())], ["quality", "features"])
 
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # at most two samples' ids
+    # at most two samples' ids; of rows that share a doc_id one text is learned from
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     found = sorted((q, bytes(f)) for q, f in sample.select("quality", "text").mapInArrow(run, "quality int, features binary").collect())
-    rows = np.stack([np.frombuffer(zlib.decompress(f), np.float32) for _, f in found]) if found else np.zeros((0, TRIGRAMS + SHARES), np.float32)
+    rows = np.stack([np.frombuffer(zlib.decompress(f), np.float32) for _, f in found]) if found else np.zeros((0, TERMS + SHARES), np.float32)
     return Voter(rows, np.array([q for q, _ in found]), {q: n / total for q, n in counts.items()})
 
 
