@@ -17,7 +17,8 @@ shard meets each block once. A vector that very many rows share takes part with
 its k + 1 smallest ids, which are all that any result can show.
 
 Defined cases: vectors null, empty, zero, or with null or non-finite components take
-no part, as query or candidate; vectors of another length than a query's are no
+no part, as query or candidate; equal scores are in order of vec_id; an empty table
+gives an empty result; vectors of another length than a query's are no
 candidates of it; a null vec_id takes no part; extra columns are ignored; a repeated
 vec_id is one candidate for each different vector.
 """
@@ -157,8 +158,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
 def _of_length(rows: DataFrame, queries: DataFrame, d: int, n: int, k: int, every: int) -> DataFrame:
     spark = rows.sparkSession
-    share = min(1.0, SAMPLE_ROWS / n)
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)).select("v").limit(2 * SAMPLE_ROWS)
+    sample = rows.where(F.shiftrightunsigned(F.xxhash64("vec_id", F.lit(5)), 1) <= (2**63 - 1) * min(SAMPLE_ROWS, n) // max(n, 1)).select("v").limit(2 * SAMPLE_ROWS)
     longest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0] or 0.0
     fitted = np.array([r[0] for r in sample.collect()]).reshape(-1, d)
     fitted = fitted[np.lexsort(fitted.T)] if len(fitted) else fitted
