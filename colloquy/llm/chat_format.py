@@ -1,7 +1,8 @@
 """Chat formatting with minimum-cost role repair.
 
 A legal chat is an optional system turn, then user and assistant in turn, ending
-with an assistant. Dynamic programming over that automaton finds the cheapest way
+with an assistant; tool turns stand after an assistant or another tool turn and lead
+back to an assistant. Dynamic programming over that automaton finds the cheapest way
 to make a conversation legal: each turn keeps its role or is relabelled, is joined
 to the turn before or starts a new one, and empty turns may be inserted. The
 repaired sequence is then rendered. Ties are settled by the order of the choices
@@ -10,10 +11,11 @@ in the code, so the result does not depend on how rows are dealt.
 A sorted stream of turns is read once; a task holds one conversation at a time.
 
 Defined cases: turns are in order of turn, then role and text; null turns come
-first; a null or unknown role may become any role at the price of a relabelling;
-a null text is empty; rows with a null conv_id are one conversation; repeated rows
-are turns of their own; extra columns are ignored; an empty table gives an empty
-result.
+first; a null or unknown role may become any role but tool at the price of a relabelling;
+a null text is empty; a text that holds a turn mark has it broken by a space; each row
+with a null conv_id is a conversation of its own; repeated rows are turns of their own;
+a text of any length is kept whole; repairs of equal cost tie as the choices stand in
+the code; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 
-ROLES = ("system", "user", "assistant")
+ROLES = ("system", "user", "assistant", "tool")
 START = -1
 #: Role after role that is legal without repair.
-FOLLOWS = {(START, 0), (START, 1), (0, 1), (1, 2), (2, 1)}
+FOLLOWS = {(START, 0), (START, 1), (0, 1), (1, 2), (2, 1), (2, 3), (3, 3), (3, 2)}
+#: Turns to insert at the end of a chat that ends with this role.
+ENDS = {START: (), 0: (1, 2), 1: (2,), 2: (), 3: (2,)}
 KEEP, RELABEL, MERGE, INSERT = 0, 2, 1, 3
 
 
@@ -42,7 +46,17 @@ def _ways(state: int, role: int) -> tuple[int, tuple[int, ...]] | None:
     return None
 
 
-_START_TURN = {(s, r): w for s in (START, 0, 1, 2) for r in range(3) if (w := _ways(s, r))}
+def _paths(state: int, role: int) -> tuple[int, tuple[int, ...]] | None:
+    """As _ways, with two inserted roles where one is not enough."""
+    if found := _ways(state, role):
+        return found
+    for first in (1, 2):
+        if (state, first) in FOLLOWS and (found := _ways(first, role)):
+            return INSERT + found[0], (first, *found[1])
+    return None
+
+
+_START_TURN = {(s, r): w for s in (START, *range(len(ROLES))) for r in range(len(ROLES)) if (w := _paths(s, r))}
 
 
 def repair(roles: list[str | None]) -> tuple[int, list[tuple[int, list[int]]], int, int, int]:
@@ -52,7 +66,9 @@ def repair(roles: list[str | None]) -> tuple[int, list[tuple[int, list[int]]], i
         number = ROLES.index(given) if given in ROLES else None
         row: dict[int, tuple] = {}
         for state, (cost, *_) in table[-1].items():
-            for role in range(3):
+            for role in range(len(ROLES)):
+                if role == 3 and number != 3:
+                    continue  # no other turn becomes a tool's
                 price = cost + (KEEP if role == number else RELABEL)
                 steps = []
                 if state == role:
@@ -66,12 +82,7 @@ def repair(roles: list[str | None]) -> tuple[int, list[tuple[int, list[int]]], i
         table.append(row)
     ends = {}
     for state, (cost, *_) in table[-1].items():
-        if state == 2 or not roles:
-            ends[state] = (cost, ())
-        elif state == 1:
-            ends[state] = (cost + INSERT, (2,))
-        elif state == 0:
-            ends[state] = (cost + 2 * INSERT, (1, 2))
+        ends[state] = (cost + INSERT * len(ENDS[state]), ENDS[state])
     state = min(ends, key=lambda s: (ends[s][0], s))
     cost, tail = ends[state]
     turns: list[tuple[int, list[int]]] = [(r, []) for r in reversed(tail)]
@@ -92,8 +103,13 @@ def repair(roles: list[str | None]) -> tuple[int, list[tuple[int, list[int]]], i
     return cost, turns[::-1], merged, changed, inserted
 
 
+def plain(text: str) -> str:
+    """Text whose turn marks are broken by a space, so that it cannot end or begin a turn."""
+    return text.replace("<|im_start|>", "<|im_start |>").replace("<|im_end|>", "<|im_end |>")
+
+
 def render(turns: list[tuple[int, list[int]]], texts: list[str]) -> str:
-    return "".join(f"<|im_start|>{ROLES[r]}\n" + "\n\n".join(texts[i] for i in places) + "<|im_end|>\n" for r, places in turns)
+    return "".join(f"<|im_start|>{ROLES[r]}\n" + "\n\n".join(plain(texts[i]) for i in places) + "<|im_end|>\n" for r, places in turns)
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
@@ -114,7 +130,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
 
         for batch in batches:
             for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
-                if roles and conv != current:
+                if roles and (conv != current or conv is None):
                     finish()
                     roles, texts = [], []
                 current = conv
@@ -127,5 +143,5 @@ def format_chats(turns: DataFrame) -> DataFrame:
             finish()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    ordered = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.lower(F.trim("role")).alias("role"), "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    ordered = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.lower(F.trim("role")).alias("role"), "text").repartition(F.coalesce("conv_id", F.xxhash64("text", "turn", "role"))).sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.mapInArrow(run, "conv_id long, n_turns int, n_out int, cost int, n_merged int, n_relabelled int, n_inserted int, rendered string")
