@@ -7,7 +7,8 @@ all those pieces, and merges are applied in rank order, each touching only its
 neighbours. Ids are then gathered for every text and decoded by table lookup.
 
 Defined cases: a null text is empty and has no ids; special tokens' strings are
-ordinary text; repeated rows each return a row; extra columns are ignored; an
+ordinary text; a text of any length is read whole, by one task; ties of rank cannot
+be, for ranks are distinct; repeated rows each return a row; extra columns are ignored; an
 empty table gives an empty result.
 """
 
@@ -41,6 +42,7 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
+        self.cuts = r"\s+(?!\S)" in pattern and r"\p{L}" in pattern
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         size = max(ranks.values()) + 1
         self.pieces = [b""] * size
@@ -177,16 +179,22 @@ class MergeReplay:
     def unit_starts(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Starts of stretches that the pattern splits alike in and out of context.
 
+        Where the pattern is not one of letter runs and of white space that joins what
+        follows (its ``\\s+(?!\\S)`` and ``\\p{L}``), a text is a single stretch.
+
         White space joins what follows only by its last character, so a text may
         be cut where white space begins and before its last character; and where a run
         of ASCII letters ends, which every alternative of the pattern respects.
         """
-        white = tb.WHITE[buf]
         cut = np.zeros(len(buf), bool)
+        heads = off[:-1][np.diff(off) > 0]
+        if not self.cuts:
+            cut[heads] = True
+            return np.flatnonzero(cut)
+        white = tb.WHITE[buf]
         cut[1:] = white[1:] & ~white[:-1]
         cut[:-1] |= white[:-1] & ~white[1:]
         cut[1:] |= tb.ASCII_LETTER[buf[:-1]] & tb.ASCII_OTHER[buf[1:]]
-        heads = off[:-1][np.diff(off) > 0]
         ends = off[1:][np.diff(off) > 0] - 1
         cut[ends] = cut[ends] & np.where(ends > 0, ~white[ends - 1], True)  # white space at the very end stays whole
         for m in RARE_WHITE.finditer(buf.tobytes()):
@@ -211,21 +219,27 @@ class MergeReplay:
         return ragged(self.flat, self.begins[ids], self.sizes[ids])
 
 
-@lru_cache(maxsize=2)
-def load(path: str, pattern: str) -> MergeReplay:
+def read_ranks(path: str) -> bytes:
     with open(path, "rb") as f:
-        return MergeReplay({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}, pattern)
+        return f.read()
+
+
+@lru_cache(maxsize=2)
+def load(ranks: bytes, pattern: str) -> MergeReplay:
+    """ranks: the content of a vocabulary file."""
+    return MergeReplay({base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}, pattern)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids array<int>) of each row of docs.
 
-    path: a vocabulary of ranks that every worker can open.
+    path: a vocabulary of ranks that the driver can open; workers get its content.
     """
     ship(docs.sparkSession)
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches):
-        bpe = load(path, pattern)
+        bpe = load(ranks.value, pattern)
         for batch in batches:
             buf, off = tb.as_bytes(batch.column("text"))
             for i, j, ids, at in bpe.encode(buf, off):

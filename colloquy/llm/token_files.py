@@ -13,8 +13,9 @@ Blocks are carried as rows of a Parquet folder, which every store that Spark
 reaches can hold. Readers look control bytes up in a table of lengths.
 
 Defined cases: a null text is empty and has only the end id; documents are in
-ascending doc_id, null first, equal ids ordered by text; extra columns are
-ignored; an empty table gives no files and an empty result.
+ascending doc_id, null first, equal ids ordered by text, so repeated rows follow each
+other; a text of any length is read whole and lies in one block; extra columns are
+ignored; an empty table gives no blocks and an empty result.
 """
 
 from __future__ import annotations
@@ -104,10 +105,10 @@ class WordTokenizer:
     any case, go to the library whole and as they are.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library = Tokenizer.from_str(vocabulary)
         self.added = [t.content.lower().encode() for t in self.library.get_added_tokens_decoder().values()]
         self.cache = UnitCache(self.tokenize)
 
@@ -150,20 +151,25 @@ class WordTokenizer:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def load(vocabulary: str) -> WordTokenizer:
+    return WordTokenizer(vocabulary)
 
 
 def write_token_files(docs: DataFrame, path: str, out: str, end_id: int = 1) -> None:
-    """Encode docs in ascending doc_id order and write blocks to the folder ``out``."""
+    """Encode docs in ascending doc_id order and write blocks to the folder ``out``.
+
+    path: a tokenizer file that the driver can open; workers get its content.
+    """
     spark = docs.sparkSession
+    with open(path, encoding="utf-8") as f:
+        vocabulary = spark.sparkContext.broadcast(f.read())
     Stages(spark)  # ships the package
 
     def run(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words, shard, block, start = load(path), TaskContext.get().partitionId(), 0, 0
+        words, shard, block, start = load(vocabulary.value), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             buf, off = tb.as_bytes(batch.column("text"))
             keys = batch.column("doc_id").cast(pa.int64())
