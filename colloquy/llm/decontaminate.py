@@ -13,8 +13,10 @@ Items are taken in blocks of at most BLOCK_ITEMS, so what a task holds never gro
 with the number of items; more items mean more passes.
 
 Defined cases: null and empty texts, and items without words, match nothing; an
-item shorter than n words is one seed; repeated rows each report; a null doc_id is
-reported as null; extra columns are ignored; empty tables give an empty result.
+item shorter than n words is one seed; a text of any length is read whole, by one
+task; of passages that tie, the first is reported; repeated rows each report; a null
+doc_id is reported as null; extra columns are ignored; without documents the result
+is empty, and without items no document is contaminated.
 """
 
 from __future__ import annotations
@@ -126,72 +128,100 @@ def _contained(words: np.ndarray, rows: np.ndarray, w: np.ndarray) -> np.ndarray
     return np.unique(row[at + len(w) <= rows[row + 1]])
 
 
+def _matches(s: Seeds, batch: pa.RecordBatch, ratio: float, least_seeds: int):
+    """(row, item, score, seeds, end word) of each contaminated row of the batch."""
+    buf, off = tb.as_bytes(batch.column("text"))
+    for i, j in tb.chunks(off):
+        words, rows = _document_words(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+        at, key = s.hits(tb.grams(words, s.n))
+        row = np.searchsorted(rows, at, "right") - 1
+        inside = at + s.n <= rows[row + 1]
+        at, key, row = at[inside], key[inside], row[inside]
+        # each hit with every item and place of its n-gram
+        sizes = s.size[key]
+        where = np.arange(sizes.sum()) + np.repeat(s.first[key] - (np.cumsum(sizes) - sizes), sizes)
+        row, at, item, place = np.repeat(row, sizes), np.repeat(at, sizes), s.item[where], s.place[where]
+        order = np.lexsort((at, row, item))
+        row, at, item, place = row[order], at[order], item[order], place[order]
+        starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))) if len(row) else []
+        waiting: dict[int, list[tuple[int, int, int, int, int]]] = {}
+        for a, b in zip(starts, [*starts[1:], len(row)]):
+            length = len(s.words[item[a]])
+            have = len(np.unique(place[a:b]))
+            if have < min(least_seeds, length - s.n + 1):
+                continue
+            slack = length // 2 + s.n
+            left, right = np.sort(at[a:b] - place[a:b] - slack), np.sort(at[a:b] - place[a:b] + length + slack)
+            cut = np.flatnonzero(left[1:] > right[:-1]) + 1
+            for u, v in zip([0, *cut], [*cut, b - a]):
+                lo, hi = max(int(left[u]), int(rows[row[a]])), min(int(right[v - 1]), int(rows[row[a] + 1]))
+                waiting.setdefault(int(item[a]), []).append((int(row[a]), lo, hi, have, int(rows[row[a]])))
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for k, spans in waiting.items():
+            spans.sort(key=lambda x: x[2] - x[1])
+            for (r, lo, _, have, base), (score, end) in zip(spans, align(s.words[k], [words[lo:hi] for _, lo, hi, _, _ in spans])):
+                if score > best.get((r, k), (0, 0, 0))[0]:
+                    best[r, k] = (score, have, lo + end - base)
+        for k, w in s.short:
+            for r in _contained(words, rows, w):
+                best[int(r), k] = (2 * len(w), 1, -1)
+        for (r, k), (score, have, end) in sorted(best.items()):
+            if score >= ratio * 2 * len(s.words[k]):
+                yield i + r, k, score, have, end
+
+
+def _blocks(items: DataFrame, n: int):
+    """The items' seeds, BLOCK_ITEMS of them at most at a time."""
+    blocks = max(1, -(-items.count() // (BLOCK_ITEMS // 2)))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").collect()  # a block
+        yield Seeds([r[0] for r in rows], [r[1] for r in rows], n)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, n: int = 3, ratio: float = 0.5, least_seeds: int = 2) -> DataFrame:
     """doc_id, item_id, score, ratio, n_seeds, end_word of each contaminated document and item.
 
     docs: doc_id, text; items: item_id, text.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    sc = docs.sparkSession.sparkContext
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = max(1, -(-items.count() // (BLOCK_ITEMS // 2)))
+
+    def one(seeds) -> DataFrame:
+        def match(batches):
+            s = seeds.value
+            for batch in batches:
+                ids = batch.column("doc_id").to_pylist()
+                out = {c: [] for c in ("doc_id", "item_id", "score", "ratio", "n_seeds", "end_word")}
+                for r, k, score, have, end in _matches(s, batch, ratio, least_seeds):
+                    for c, v in zip(out, (ids[r], s.ids[k], score, score / (2 * len(s.words[k])), have, end)):
+                        out[c].append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()))], list(out))
+
+        return docs.mapInArrow(match, "doc_id long, item_id long, score int, ratio double, n_seeds int, end_word int")
+
     found = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").collect()  # a block
-        part = _block(docs, Seeds([r[0] for r in rows], [r[1] for r in rows], n), ratio, least_seeds)
+    for seeds in _blocks(items, n):
+        part = one(sc.broadcast(seeds))
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _block(docs: DataFrame, seeds: Seeds, ratio: float, least_seeds: int) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, n: int = 3, ratio: float = 0.5, least_seeds: int = 2) -> DataFrame:
+    """The rows of docs, whatever their doc_id, that no item contaminates: a scan without a shuffle."""
     sc = docs.sparkSession.sparkContext
-    every = sc.broadcast(seeds)
-
-    def match(batches):
-        s = every.value
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            buf, off = tb.as_bytes(batch.column("text"))
-            out = {c: [] for c in ("doc_id", "item_id", "score", "ratio", "n_seeds", "end_word")}
-            for i, j in tb.chunks(off):
-                words, rows = _document_words(buf[off[i] : off[j]], off[i : j + 1] - off[i])
-                at, key = s.hits(tb.grams(words, s.n))
-                row = np.searchsorted(rows, at, "right") - 1
-                inside = at + s.n <= rows[row + 1]
-                at, key, row = at[inside], key[inside], row[inside]
-                # each hit with every item and place of its n-gram
-                sizes = s.size[key]
-                where = np.arange(sizes.sum()) + np.repeat(s.first[key] - (np.cumsum(sizes) - sizes), sizes)
-                row, at, item, place = np.repeat(row, sizes), np.repeat(at, sizes), s.item[where], s.place[where]
-                order = np.lexsort((at, row, item))
-                row, at, item, place = row[order], at[order], item[order], place[order]
-                starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))) if len(row) else []
-                waiting: dict[int, list[tuple[int, int, int, int, int]]] = {}
-                for a, b in zip(starts, [*starts[1:], len(row)]):
-                    length = len(s.words[item[a]])
-                    have = len(np.unique(place[a:b]))
-                    if have < min(least_seeds, (s.item == item[a]).sum() if length < 2 * s.n else least_seeds):
-                        continue
-                    slack = length // 2 + s.n
-                    left, right = at[a:b] - place[a:b] - slack, at[a:b] - place[a:b] + length + slack
-                    left, right = np.sort(left), np.sort(right)
-                    cut = np.flatnonzero(left[1:] > right[:-1]) + 1
-                    for u, v in zip([0, *cut], [*cut, b - a]):
-                        lo, hi = max(int(left[u]), int(rows[row[a]])), min(int(right[v - 1]), int(rows[row[a] + 1]))
-                        waiting.setdefault(int(item[a]), []).append((int(row[a]), lo, hi, have, int(rows[row[a]])))
-                best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                for k, spans in waiting.items():
-                    spans.sort(key=lambda x: x[2] - x[1])
-                    for (r, lo, _, have, base), (score, end) in zip(spans, align(s.words[k], [words[lo:hi] for _, lo, hi, _, _ in spans])):
-                        if score > best.get((r, k), (0, 0, 0))[0]:
-                            best[r, k] = (score, have, lo + end - base)
-                for k, w in s.short:
-                    for r in _contained(words, rows, w):
-                        best[int(r), k] = (2 * len(w), 1, -1)
-                for (r, k), (score, have, end) in sorted(best.items()):
-                    if score >= ratio * 2 * len(s.words[k]):
-                        for c, v in zip(out, (ids[i + r], s.ids[k], score, score / (2 * len(s.words[k])), have, end)):
-                            out[c].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32()))], list(out))
-
-    return docs.mapInArrow(match, "doc_id long, item_id long, score int, ratio double, n_seeds int, end_word int")
+    ship(docs.sparkSession)
+
+    def one(seeds):
+        def keep(batches):
+            s = seeds.value
+            for batch in batches:
+                fine = np.ones(batch.num_rows, bool)
+                fine[[r for r, *_ in _matches(s, batch, ratio, least_seeds)]] = False
+                yield batch.filter(pa.array(fine))
+
+        return keep
+
+    for seeds in _blocks(items, n):
+        docs = docs.mapInArrow(one(sc.broadcast(seeds)), docs.schema)
+    return docs
