@@ -10,13 +10,15 @@ upper bound on the overlap, then expanded to members and verified on whole sets.
 Large groups of near copies never become all pairs: sets that agree in some band of
 least hashes are first compared side by side, which joins such groups into
 components, and only pairs that then still lie in different components are
-compared one by one. The result is exact in the
-sense of reachability: two documents are in one component if and only if a chain
-of verified links joins them.
+compared one by one. Two documents are in one component if and only if a chain of
+verified links joins them. Shingles are compared by 64-bit hashes, so the result is
+that of the shingles themselves unless two of a compared pair collide.
 
 Defined cases: null and empty texts have no shingles, link with nothing and are
-their own component; a text with fewer than k words is one shingle; repeated rows
-of a doc_id each return a row; a null doc_id takes the component of the documents
+their own component; a text with fewer than k words is one shingle; a text of any
+length is read whole, by one task; documents of equal size and similarity tie by
+doc_id; rows that share a doc_id are one document, in the component of each of its
+texts, and each returns a row; a null doc_id takes the component of the documents
 with an equal set, else null; extra columns are ignored; an empty table gives an
 empty result.
 """
@@ -42,6 +44,8 @@ SKETCH_PART = 1 << 14
 BANDS, BAND = 16, 8
 #: Buckets of the overlap bound kept for each representative.
 BOUND_BUCKETS = 128
+#: Parts in which neighbours of a band are found.
+BAND_SALTS = 8
 #: Words of the parity bitmap of a set. Sets that differ in d shingles have bitmaps that differ in d bits at most.
 PARITY_WORDS = 4
 PARITY = [f"m{i}" for i in range(PARITY_WORDS)]
@@ -207,46 +211,66 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
 
 def _neighbours(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that stand side by side, by size, among the sets with an equal band."""
-    order = W.partitionBy("band").orderBy("n", "doc_id")
-    rows = reps.select("doc_id", "n", F.explode("bands").alias("band")).withColumn("p", F.lag(F.struct("doc_id", "n")).over(order))
-    return rows.where(f"p is not null and 100 * p.n >= {percent} * n").select(F.col("doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()
+    """Pairs (a, b) that stand side by side, by size, among the sets with an equal band.
+
+    A band that very many sets share is dealt out: neighbours are found in each of
+    BAND_SALTS parts of it, and then among the first sets of its parts.
+    """
+    salted = F.pmod(F.xxhash64("doc_id"), F.lit(BAND_SALTS)).cast("int").alias("salt")
+    rows = reps.select(F.explode("bands").alias("band"), salted, F.struct("n", "doc_id").alias("x"))
+
+    def beside(df: DataFrame, keys: list[str]) -> DataFrame:
+        after = df.withColumn("p", F.lag("x").over(W.partitionBy(*keys).orderBy("x")))
+        return after.where(f"p is not null and 100 * p.n >= {percent} * x.n").select(F.col("x.doc_id").alias("a"), F.col("p.doc_id").alias("b"))
+
+    firsts = rows.groupBy("band", "salt").agg(F.min("x").alias("x"))
+    return beside(rows, ["band", "salt"]).unionByName(beside(firsts, ["band"])).distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, is_representative.
+    """One row per row of docs: doc_id, n_shingles, component_id.
 
     docs: doc_id, text. Two documents link when the Jaccard similarity of their
-    sets of distinct k-word shingles is at least percent / 100.
+    sets of distinct k-word shingles is at least percent / 100. Each intermediate
+    table is deleted after its last reader.
     """
     spark: SparkSession = docs.sparkSession
-    stages = Stages(spark)
+    stages = Stages(spark, alike=True)
     levels = spark.sparkContext.broadcast(shingle_levels(docs, k))
-    signed = stages.keep(_signatures(docs, k, percent, levels), "signatures")
-
-    same = signed.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    signatures = stages.keep(_signatures(docs, k, percent, levels), "signatures")
+    same = signatures.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     same = stages.keep(same, "sets")
-    reps = stages.keep(signed.join(same, ["n", "s1", "s2"]).where("doc_id = rep").dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "n", "p", "prefix", "bound", "bands", *PARITY), "reps")
+    reps = stages.keep(signatures.join(same, ["n", "s1", "s2"]).where("doc_id = rep").dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "n", "p", "prefix", "bands", "bound", *PARITY), "reps")
+    signed = stages.keep(signatures.select("doc_id", "n", "s1", "s2"), "signed")
+    stages.drop(signatures)
+
     groups = reps.groupBy("n", "p").agg(F.min("doc_id").alias("gid"))
     members = stages.keep(reps.select("doc_id", "n", "p").join(groups, ["n", "p"]).select("gid", "doc_id"), "members")
     firsts = reps.join(members.where("gid = doc_id").select("doc_id"), "doc_id", "left_semi")
-    postings = firsts.select(F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("gid"), "n", *PARITY)
+    postings = firsts.select(F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("gid"), "n")
     shared = stages.keep(keep_shared(postings, "token"), "shared")
     in_play = shared.select("gid").distinct().join(members, "gid").select("doc_id").unionByName(members.where("gid <> doc_id").select("doc_id")).unionByName(members.where("gid <> doc_id").select(F.col("gid").alias("doc_id"))).distinct()
-    texts = stages.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(in_play, "doc_id", "left_semi"), "texts")
+    in_play = stages.keep(in_play, "in-play")
 
     # first links: members with their group's first, groups in play with neighbours in bands of least hashes
     inner = members.where("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b"))
-    near = _neighbours(reps.join(in_play, "doc_id", "left_semi"), percent).unionByName(inner).distinct()
-    links = stages.keep(_verified(stages.keep(_bounded(near, reps, percent), "near"), texts, k, percent), "links")
+    near = stages.keep(_neighbours(reps.select("doc_id", "n", "bands").join(in_play, "doc_id", "left_semi"), percent).unionByName(inner).distinct(), "beside")
+    bounds = stages.keep(reps.select("doc_id", "n", "bound", *PARITY).join(in_play, "doc_id", "left_semi"), "bounds")
+    stages.drop(reps)
+    near = stages.keep(_bounded(near, bounds, percent), "near")
+    texts = stages.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(in_play, "doc_id", "left_semi"), "texts")
+    links = stages.keep(_verified(near, texts, k, percent), "links")
     first = stages.keep(components(stages, links), "first")
 
     # cross pass: what shares a shingle but not yet a component, pair by pair
-    labelled = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    of_group = labelled.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), (F.count("*") == 1).alias("alone"))
-    tagged = stages.keep(shared.join(of_group, "gid").select("token", "gid", "n", "pos", "lo", "hi", "alone", *PARITY), "tagged")
-    mixed = tagged.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("token")
-    tagged = tagged.join(mixed, "token", "left_semi")
+    labelled = stages.keep(members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labelled")
+    of_group = stages.keep(labelled.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), (F.count("*") == 1).alias("alone")), "groups")
+    mixed = shared.join(of_group, "gid").groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("token")
+    open_ = stages.keep(shared.join(mixed, "token", "left_semi"), "open")
+    stages.drop(shared)
+    parity = bounds.select(F.col("doc_id").alias("gid"), *PARITY)
+    tagged = stages.keep(open_.join(of_group.join(parity, "gid"), "gid").select("token", "gid", "n", "pos", "lo", "hi", "alone", *PARITY), "tagged")
+    stages.drop(open_)
     x, y = tagged.alias("x"), tagged.alias("y")
     crossed = x.join(y, F.expr(f"x.token = y.token and (x.n, x.gid) < (y.n, y.gid) and 100 * x.n >= {percent} * y.n and not (x.lo = x.hi and x.lo = y.lo and y.lo = y.hi)"))
     apart = " + ".join(f"bit_count(x.{m} ^ y.{m})" for m in PARITY)
@@ -254,17 +278,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     crossed = crossed.where(F.expr("not (x.alone and y.alone)") | (F.expr(apart) <= F.expr("x.n + y.n") - 2 * _overlap_needed("x.n", "y.n", percent)))
     # of a pair that reaches the similarity, the first common shingle leaves room for the overlap behind it
     crossed = crossed.where(F.expr("least(x.n - x.pos, y.n - y.pos)") >= _overlap_needed("x.n", "y.n", percent))
-    group_pairs = crossed.select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()
+    group_pairs = stages.keep(crossed.select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct(), "group-pairs")
+    stages.drop(tagged)
     inside = labelled.join(of_group.where("lo <> hi").select("gid"), "gid", "left_semi")
     inside = inside.alias("u").join(inside.alias("v"), F.expr("u.gid = v.gid and u.doc_id > v.doc_id and u.component <> v.component")).select(F.col("u.doc_id").alias("a"), F.col("v.doc_id").alias("b"))
     u, v = labelled.alias("u"), labelled.alias("v")
     pairs = group_pairs.join(u, F.expr("g = u.gid")).join(v, F.expr("h = v.gid and u.component <> v.component")).select(F.col("u.doc_id").alias("a"), F.col("v.doc_id").alias("b")).unionByName(inside).distinct()
-    pairs = stages.keep(_bounded(pairs, reps, percent), "pairs")
+    pairs = stages.keep(_bounded(pairs, bounds, percent), "pairs")
+    stages.drop(group_pairs, bounds, labelled, of_group)
     links = links.unionByName(stages.keep(_verified(pairs, texts, k, percent), "cross-links"))
+    stages.drop(texts, pairs)
     final = stages.keep(components(stages, links), "components")
 
     linked = same.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
-    result = signed.select("doc_id", "n", "s1", "s2").join(linked, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    result = signed.join(linked, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     result = stages.keep(result, "result")
     stages.only("result")
     return result

@@ -48,13 +48,16 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{Stages(spark).root}/tokens"
+    stages = Stages(spark)
+    out = stages.place("tokens")
     write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), out, end_id=1)
-    return read_token_files(spark, out)
+    result = stages.keep(read_token_files(spark, out), "result")
+    stages.only("result")
+    return result
 
 
 def op9_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(table(spark, sf_dir, "documents"), length=400)
+    return cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, with_text=True)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

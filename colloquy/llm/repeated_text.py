@@ -14,8 +14,10 @@ Copies of whole texts are settled first, by their 128-bit hash, so that a large
 group of copies costs one row for each.
 
 Defined cases: null and empty texts have nothing to remove; texts shorter than
-``length`` are left alone; repeated rows are copies of each other, also with equal
-doc_id; extra columns are ignored; an empty table gives an empty result.
+``length`` are left alone; a text of any length is read whole, by one task; all
+places of a repeated string are removed, so there are no ties; repeated rows are
+copies of each other, also with equal doc_id; extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -212,13 +214,13 @@ def repeated_spans(docs: DataFrame, length: int, stages: Stages) -> tuple[DataFr
     shape = Shape(length)
     texts = stages.keep(docs.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")), "texts")
     copied = texts.where("n > 1").select("t1", "t2")
-    found = stages.keep(keep_shared(_occurrences(docs, shape), "anchor"), "occurrences")
+    found = stages.keep(keep_shared(_occurrences(docs, shape), "anchor", ["t1", "t2", "ctx"]), "occurrences")
     rep = F.min(F.struct("t1", "t2", F.col("pos")[0].alias("pos"), "first", "last", "c0", "c1", "c2", "c3")).alias("rep")
     around = stages.keep(found.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), rep), "surroundings")
     run = lambda a, b: F.array(F.struct(a.cast("int").alias("a"), b.cast("int").alias("b")))
     alike = around.where("n > 1").select("anchor", "ctx", run(F.lit(1 - shape.window), F.lit(length)).alias("runs"))
 
-    varied = keep_shared(around.select("anchor", "ctx", F.col("n").alias("times"), "rep.*"), "anchor")
+    varied = keep_shared(around.select("anchor", "ctx", F.col("n").alias("times"), "rep.*"), "anchor", ["ctx"])
     cores = varied.select("anchor", "ctx", "times", "t1", "t2", "pos", "first", "last", F.posexplode(F.array("c0", "c1", "c2", "c3")).alias("part", "core")).where("core <> 0")
     cores = stages.keep(keep_shared(cores.withColumn("key", F.xxhash64("anchor", "part", "core")), "key"), "cores")
     small = F.col("part") * shape.part
@@ -254,21 +256,24 @@ def cut_repeats(docs: DataFrame, length: int = 400, with_text: bool = False) ->
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row of docs.
 
     With with_text, all columns of docs are kept, text is what remains, and the
-    figures are added.
+    figures and ``removed``, the removed byte ranges (start, end), are added. Where a
+    range ends inside a character, the bytes left of it are in kept_sha256 only,
+    since they are no text.
     """
     stages = Stages(docs.sparkSession)
-    figures = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    figures = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["removed"] if with_text else [])]
     own = [c for c in docs.columns if c not in ("t1", "t2", "spans", "copied", *figures)] if with_text else ["doc_id"]
     docs = with_hash(docs.withColumn("doc_id", F.col("doc_id").cast("long")).select(*dict.fromkeys(["doc_id", "text", *own])))
     copied, spans = repeated_spans(docs, length, stages)
     joined = docs.join(copied.withColumn("copied", F.lit(True)), ["t1", "t2"], "left").join(spans, ["t1", "t2"], "left")
     joined = joined.withColumn("n_bytes", F.octet_length("text").cast("long"))
     gone = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= length)
+    ranges = "array<struct<start:long,end:long>>"
 
     def run(batches):
         for batch in batches:
             buf, off = tb.as_bytes(batch.column("text"))
-            removed, count, digest, kept = [], [], [], []
+            removed, count, digest, kept, cuts = [], [], [], [], []
             for r, s in enumerate(batch.column("spans").to_pylist()):
                 raw = buf[off[r] : off[r + 1]].tobytes()
                 runs = _merged(s, len(raw))
@@ -277,19 +282,24 @@ def cut_repeats(docs: DataFrame, length: int = 400, with_text: bool = False) ->
                 removed.append(len(raw) - len(rest))
                 count.append(len(runs))
                 digest.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest.decode("utf-8", "ignore"))
+                if with_text:
+                    kept.append(rest.decode("utf-8", "ignore"))
+                    cuts.append([{"start": a, "end": b} for a, b in runs])
             new = {"n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(count, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
             if with_text:
                 new["text"] = pa.array(kept, pa.string())
+                new["removed"] = pa.array(cuts, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names)
 
     names = [*own, *figures]
-    schema = joined.select(*own, "n_bytes").schema.add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*own, "n_bytes").schema) + ", n_removed long, n_spans long, kept_sha256 string" + f", removed {ranges}" * with_text
     touched = joined.where(F.col("spans").isNotNull() & ~gone)
     cut = touched.select(*dict.fromkeys(["text", *own, "n_bytes", "spans"])).mapInArrow(run, schema)
     rest = joined.where(F.col("spans").isNull() | gone)
+    whole = F.when(gone, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))).otherwise(F.array().cast(ranges))
+    rest = rest.withColumn("removed", whole)
     if with_text:
         rest = rest.withColumn("text", F.when(gone, F.lit("")).otherwise(F.col("text")))
     sha = F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.sha2("text", 256))
-    rest = rest.select(*own, "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.lit(0)).alias("n_removed"), gone.cast("long").alias("n_spans"), sha.alias("kept_sha256"))
+    rest = rest.select(*own, "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.lit(0)).alias("n_removed"), gone.cast("long").alias("n_spans"), sha.alias("kept_sha256"), *(["removed"] if with_text else []))
     return cut.unionByName(rest)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, StructField, StructType
 
 from ..session import ship
 
@@ -28,9 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set (tests), one of our own."""
+    """The cluster's checkpoint folder; where none is set and all runs on one machine (tests), one of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = tempfile.mkdtemp(prefix="colloquy-")
@@ -40,13 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: No join side is broadcast: tables that grow with the input are joined alike at every size.
+_ALIKE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
 class Stages:
     """Written intermediate tables of one operator run."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, alike: bool = False):
+        """alike: plan joins alike at every size of the input."""
         ship(spark)
+        self.settings = {_CLEANUP: "true", **(_ALIKE if alike else {})}
         self.spark = spark
         self.root = f"{shared_dir(spark)}/colloquy-{uuid.uuid4().hex}"
         self.count = 0
@@ -58,17 +65,23 @@ class Stages:
 
     def write(self, df: DataFrame, name: str = "t") -> str:
         """Write df. Its shuffle files are of no more use then and are removed at once."""
-        self.count += 1
-        path = f"{self.root}/{self.count}-{name}"
-        before = self.spark.conf.get(_CLEANUP, "false")
-        self.spark.conf.set(_CLEANUP, "true")
+        path = self.place(name)
+        before = {k: self.spark.conf.get(k, None) for k in self.settings}
+        for k, v in self.settings.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            self.spark.conf.set(_CLEANUP, before)
-        self.paths.append(path)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         return path
 
+    def place(self, name: str) -> str:
+        """A new path, which drop() and only() delete like written tables."""
+        self.count += 1
+        self.paths.append(f"{self.root}/{self.count}-{name}")
+        return self.paths[-1]
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that keep() wrote, once nothing later reads them."""
         gone = {f.rpartition("/")[0] for df in tables for f in df.inputFiles()}
@@ -90,12 +103,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def components(stages: Stages, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(stages: Stages, edges: DataFrame) -> DataFrame:
     """(node, component): smallest node reachable over edges (a, b).
 
     Alternating large-star and small-star rounds; each is two partial
     aggregations and joins that adaptive execution can split, so a node with
-    very many links is no hot task. Nodes without links have no row.
+    very many links is no hot task. Runs until a round changes nothing. Nodes
+    without links have no row.
     """
 
     def pointed(df: DataFrame, both: bool) -> DataFrame:
@@ -112,7 +126,7 @@ def components(stages: Stages, edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     current = stages.keep(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    while True:
         larger = pointed(current, True).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         following = stages.keep(pointed(larger, False), "edges")
         now = following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
@@ -124,14 +138,20 @@ def components(stages: Stages, edges: DataFrame, rounds: int = 60) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def keep_shared(df: DataFrame, key: str) -> DataFrame:
+#: Parts into which the rows of a key are dealt first.
+KEY_SALTS = 32
+
+
+def keep_shared(df: DataFrame, key: str, dealt: list[str] | None = None) -> DataFrame:
     """Rows whose key some other row has as well.
 
-    One pass over each sorted partition that holds back a single row, so that a
-    key of any number of rows needs no memory.
+    Passes over sorted partitions that hold back a single row, so that a key of any
+    number of rows needs no memory. With ``dealt``, rows of a key are first dealt by
+    these columns to KEY_SALTS parts, and only the lone row or the first row of a part
+    meets the other parts': a key of very many rows is no hot task.
     """
 
-    def run(batches):
+    def run(batches, keys: list[str], sure: bool, mark: bool):
         held, before = None, None  # a row that may be alone, and the key of the last row given
         for batch in batches:
             if held is not None:
@@ -139,14 +159,32 @@ def keep_shared(df: DataFrame, key: str) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
             same = np.zeros(n + 1, bool)
-            same[1:n] = keys[1:] == keys[:-1]
-            same[0] = held is None and before is not None and before == keys[0]
-            keep = same[:-1] | same[1:]
-            held = None if keep[-1] else batch.slice(n - 1)
-            before = keys[-1]
-            if keep.any():
-                yield batch.filter(pa.array(keep))
-
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, df.schema)
+            same[1:n] = np.logical_and.reduce([v[1:] == v[:-1] for v in values])
+            same[0] = held is None and before is not None and all(b == v[0] for b, v in zip(before, values))
+            shared = same[:-1] | same[1:]
+            if mark:  # 0: alone in its part, 1: first of several, 2: another of them; the last row waits for the next
+                last = n if shared[-1] else n - 1
+                held = None if shared[-1] else batch.slice(n - 1)
+                before = [v[-1] for v in values]
+                state = shared.astype(np.int8) + same[:-1]
+                out = batch.slice(0, last)
+                yield pa.RecordBatch.from_arrays([*(out.column(c) for c in names), pa.array(state[:last]), out.column("_salt")], [*names, "_state", "_salt"])
+                continue
+            if sure:
+                shared |= batch.column("_state").to_numpy() > 0
+            held = None if shared[-1] else batch.slice(n - 1)
+            before = [v[-1] for v in values]
+            if shared.any():
+                yield batch.filter(pa.array(shared)).select(names)
+        if mark and held is not None:
+            yield pa.RecordBatch.from_arrays([*(held.column(c) for c in names), pa.array(np.zeros(1, np.int8)), held.column("_salt")], [*names, "_state", "_salt"])
+
+    names = df.columns
+    if not dealt:
+        return df.repartition(key).sortWithinPartitions(key).mapInArrow(lambda b: run(b, [key], False, False), df.schema)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*dealt), F.lit(KEY_SALTS)).cast("int"))
+    marked = salted.repartition(key, "_salt").sortWithinPartitions(key, "_salt").mapInArrow(lambda b: run(b, [key, "_salt"], False, True), StructType([*df.schema.fields, StructField("_state", ByteType()), StructField("_salt", IntegerType())]))
+    place = F.when(F.col("_state") == 2, F.xxhash64(*dealt)).otherwise(F.col(key))
+    return marked.repartition(place).sortWithinPartitions(key).mapInArrow(lambda b: run(b, [key], True, False), df.schema)

@@ -5,27 +5,29 @@ as Parquet and reads again for the next stage. All but the last return the colum
 of documents.
 
 1. quality_filter      documents predicted to be of low quality go
-2. near_duplicates     of each component of near copies (five words, 0.8) one stays,
-                       the longest text (ties: smallest doc_id, then source, lang, text)
+2. near_duplicates     of each component of near copies (five words, 0.8) one row stays,
+                       the longest text (ties: smallest doc_id, then greatest source and lang)
 3. repeated_passages   bytes covered by a REPEAT_BYTES string that starts anywhere
                        else go, in all places; rows stay, n_chars follows the text
 4. decontamination     documents that hold a benchmark passage, edited or not, go
 5. byte_bpe            token counts and digests of each remaining document
 
-Defined cases are those of the operators; a null doc_id is kept by the near-duplicate
-stage unless it belongs to a component whose representative is another document.
+Defined cases are those of the operators. Rows are told apart by a key of their own,
+so rows with a null or repeated doc_id are documents like any other: of repeated rows
+one stays, and rows without words, which are near copies of nothing, all stay. Where
+repeated_passages cuts inside a character, the stray bytes go too. Empty tables pass
+through empty; without labels no document reaches the quality threshold.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.llm import quality
 from colloquy.llm.bpe_replay import encode_documents
-from colloquy.llm.decontaminate import contaminated
+from colloquy.llm.decontaminate import clean
 from colloquy.llm.ngram_jaccard import jaccard_components
 from colloquy.llm.repeated_text import cut_repeats
 from colloquy.llm.staging import Stages, table
@@ -42,18 +44,15 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stages = Stages(spark)
-    found = stages.keep(jaccard_components(docs, k=5, percent=80).dropDuplicates(["doc_id"]), "components")
-    sized = found.groupBy("component_id").count().where("count > 1").select("component_id")
-    inside = found.join(sized, "component_id")
-    lengths = docs.select("doc_id", F.octet_length("text").alias("size")).groupBy("doc_id").agg(F.max("size").alias("size"))
-    best = inside.join(lengths, "doc_id").groupBy("component_id").agg(F.max_by("doc_id", F.struct("size", -F.col("doc_id"))).alias("best"))
-    gone = inside.join(best, "component_id").where("doc_id <> best").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    repeated = kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    alone = kept.join(repeated, "doc_id", "left_anti")
-    one = W.partitionBy("doc_id").orderBy("source", "lang", "text")
-    several = kept.join(repeated, "doc_id", "left_semi").withColumn("r", F.row_number().over(one)).where("r = 1").select(*COLUMNS)
-    return alone.select(*COLUMNS).unionByName(several)
+    keyed = stages.keep(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "keyed")
+    found = stages.keep(jaccard_components(keyed.select(F.col("row").alias("doc_id"), "text"), k=5, percent=80), "found")
+    sizes = keyed.select(F.col("row").alias("doc_id"), F.struct(F.octet_length("text"), F.col("doc_id").isNotNull(), F.bitwise_not("doc_id"), "source", "lang", F.xxhash64("text"), -F.col("row")).alias("order"))
+    several = found.groupBy("component_id").count().where("count > 1").select(F.col("component_id").alias("doc_id"))
+    # only components of several rows are compared; each of their rows but the best goes
+    inside = found.where("component_id <> doc_id").unionByName(found.join(several, "doc_id", "left_semi"))
+    best = inside.join(sizes, "doc_id").groupBy("component_id").agg(F.max_by("doc_id", "order").alias("row"))
+    kept = found.where("component_id = doc_id").join(several, "doc_id", "left_anti").select(F.col("doc_id").alias("row")).unionByName(best.select("row"))
+    return keyed.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +61,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaked = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(Stages(spark).keep(leaked, "leaked"), "doc_id", "left_anti").select(*COLUMNS)
+    return clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from colloquy.llm import bpe_replay, chat_format, decontaminate, hamming_search, html_text, induced_sort, language, ngram_jaccard, quality, queries, repeated_text, token_files
+from colloquy.llm import bpe_replay, chat_format, decontaminate, hamming_search, html_text, induced_sort, language, ngram_jaccard, quality, queries, repeated_text, staging, token_files
 
 BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -128,9 +128,23 @@ def test_repeats(docs, rows, length):
 
 
 def test_repeats_text(docs, rows):
-    out = repeated_text.cut_repeats(docs.withColumnRenamed("source", "n_spans"), 100, with_text=True)
-    got = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in out.collect()}
-    assert got == {i: v[3] for i, v in brute_cut(rows, 100).items()}
+    out = repeated_text.cut_repeats(docs.withColumnRenamed("source", "n_spans"), 100, with_text=True).collect()
+    assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in out} == {i: v[3] for i, v in brute_cut(rows, 100).items()}
+    texts = {i: (t or "").encode() for i, t, *_ in rows}
+    for r in out:
+        edges = [0, *(x for s in r.removed for x in s), r.n_bytes]
+        assert b"".join(texts[r.doc_id][a:b] for a, b in zip(edges[::2], edges[1::2])) == r.text.encode()
+
+
+@pytest.mark.parametrize("dealt", [None, ["b"]])
+def test_keep_shared(spark, dealt):
+    """Lone keys go, however the rows of a key are dealt; one key holds a third of all rows."""
+    rng = random.Random(3)
+    rows = [(rng.randrange(2000), i) for i in range(2000)] + [(-5, i) for i in range(1000)]
+    times = Counter(a for a, _ in rows)
+    df = spark.createDataFrame(rows, "a long, b long").repartition(5)
+    got = sorted(map(tuple, staging.keep_shared(df, "a", dealt).collect()))
+    assert got == sorted(r for r in rows if times[r[0]] > 1)
 
 
 @pytest.fixture(scope="module")
@@ -145,7 +159,7 @@ def tiktoken_encoding():
 @settings(max_examples=300, deadline=None)
 @given(text=st.text(alphabet=st.one_of(st.sampled_from(list("aab tthe'sing \n\t\r.,!1　\x85\x1c")), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_bpe_text(tiktoken_encoding, text):
-    bpe = bpe_replay.load(BPE, public_tokenizers.PATTERN)
+    bpe = bpe_replay.load(bpe_replay.read_ranks(BPE), public_tokenizers.PATTERN)
     raw = np.frombuffer(text.encode(), np.uint8)
     parts = list(bpe.encode(raw, np.array([0, len(raw)], np.int64)))
     ids = np.concatenate([p[2] for p in parts])
@@ -179,7 +193,6 @@ def test_token_files(spark, docs, rows, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(WORD)
-    library.encode_special_tokens = True
     token_files.write_token_files(docs, WORD, str(tmp_path / "t"))
     got = {r.doc_id: r for r in token_files.read_token_files(spark, str(tmp_path / "t"), with_ids=True).collect()}
     start = 0
@@ -264,6 +277,63 @@ def test_language_held_out(spark, sf):
     assert np.mean([r.lang == r.lang_pred for r in got]) >= 0.97
 
 
+def brute_language(model_words, text):
+    """Log scores by words, else by the longest known n-grams of characters, one by one."""
+    languages = sorted({x for x, _, _ in model_words})
+    words, grams = defaultdict(lambda: [0] * len(languages)), [defaultdict(lambda: [0] * len(languages)) for _ in range(5)]
+    for x, w, n in model_words:
+        w = w.decode()
+        words[w][languages.index(x)] += n
+        marked = "\x02" + w + "\x03"
+        for k in range(1, 5):
+            for i in range(len(marked) - k + 1):
+                grams[k][marked[i : i + k]][languages.index(x)] += n
+    log = lambda table, key, k: np.log(table[key][k] + 0.5) - np.log(sum(v[k] for v in table.values()) + 0.5 * len(table))
+    out = np.zeros(len(languages))
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        for k in range(len(languages)):
+            if w in words:
+                out[k] += log(words, w, k)
+                continue
+            marked = "\x02" + w + "\x03"
+            for i in range(len(marked)):
+                n = next((n for n in range(min(4, i + 1), 0, -1) if marked[i + 1 - n : i + 1] in grams[n]), 0)
+                out[k] += log(grams[n], marked[i + 1 - n : i + 1], k) if n else 0
+    return out
+
+
+def test_language_brute():
+    words = [("de", "straße".encode(), 4), ("de", b"und", 9), ("en", b"the", 9), ("en", b"street", 3), ("zh", "漢字文".encode(), 5), ("zh", "文字".encode(), 2)]
+    model = language.Model(["de", "en", "zh"], words)
+    for text in ("the straße", "strasse undo", "漢字 文漢", "theta 文字文 x", "zzz"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        got, _ = model.score(raw, np.array([0, len(raw)], np.int64))
+        assert got[0] == pytest.approx(brute_language(words, text), abs=1e-4)
+
+
+def test_language_rare(spark):
+    """A language of three documents beside thousands of another is learned."""
+    rows = [(i, "the and of that", "en") for i in range(4000)] + [(5000 + i, "och det att som", "sv") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, language.fit(docs, sample=50)).collect()}
+    assert {got[i] for i in range(4000)} == {"en"} and {got[5000 + i] for i in range(3)} == {"sv"}
+
+
+def test_votes_brute():
+    """Votes against all cosines sorted one by one."""
+    rng = np.random.default_rng(1)
+    rows = np.abs(rng.standard_normal((60, quality.TERMS + quality.SHARES))).astype(np.float32)
+    labels = (np.arange(60) % 3 == 0).astype(int)
+    voter = quality.Voter(rows, labels, {0: 0.4, 1: 0.6})
+    asked = np.abs(rng.standard_normal((20, rows.shape[1]))).astype(np.float32)
+    v = (asked * voter.weights - voter.mean) @ (voter.axes / voter.weights[:, None].clip(1e-9))
+    for r, s in enumerate(voter.score(asked)):
+        cosine = np.array([v[r] @ w / np.linalg.norm(v[r]) for w in voter.vectors])
+        near = np.argsort(-cosine)[: quality.NEIGHBOURS]
+        weight = np.maximum(cosine[near], 0) ** 4 * np.where(labels[near] == 1, 0.6 / 20, 0.4 / 40)
+        assert s == pytest.approx((weight * labels[near]).sum() / weight.sum(), abs=1e-3)
+
+
 def test_language_letters(spark):
     model = language.Model(["en", "fr"], [("en", b"the", 5), ("fr", b"le", 5)])
     rows = [(1, None), (2, ""), (3, "12 !?"), (4, "the the"), (5, "—"), (6, "漢字"), (None, "le")]
@@ -292,12 +362,31 @@ def test_labeller():
         ("<p>1 < 2</p>", ["1 < 2"]),
         ("<p title='a>b'>x</p><p class=\"un", ["x"]),
         ("<p>cut &am", ["cut &am"]),
+        ("<div>" * 40 + "<p>deep", ["deep"]),
     ],
 )
 def test_blocks(page, expected):
     assert [b.text for b in html_text.blocks(page)] == expected
 
 
+def test_extract_pages(spark, sf):
+    """Against the article element of the tables' pages, which the labeller never saw."""
+    right = said = true = 0
+    for r in html_text.extract(spark.read.parquet(f"{sf}/pages.parquet")).join(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id").collect():
+        article = re.search(r"(?s)<article>(.*?)(?:</article>|$)", r.html or "")
+        if article:
+            inner = re.sub(r'(?s)<!--.*?-->|<div class="(?:ad|comment)[^>]*>.*?</div>', " ", article.group(1))
+            expected = Counter(" ".join(b.text for b in html_text.blocks(inner)).split())
+            got = Counter(r.text.split())
+            right, said, true = right + sum((got & expected).values()), said + sum(got.values()), true + sum(expected.values())
+    assert right > 0.97 * said and right > 0.97 * true
+
+
+def test_extract_bare(spark):
+    got = html_text.extract(spark.createDataFrame([(1, "u", "<p>x</p>"), (2, "u", "<p>" + "long words of a text " * 40 + "</p><p>more</p>")], "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text[:4] for r in got} == {1: "x", 2: "long"}
+
+
 def test_extract(spark):
     page = '<html><body><nav><a href="/">home</a></nav><article><h1>Title</h1><p>First.</p><p>Second &lt;b&gt;</p></article><footer>&copy; me</footer></body></html>'
     got = html_text.extract(spark.createDataFrame([(1, "u", page), (2, None, None), (None, "v", "")], "page_id long, url string, html string")).collect()
@@ -343,8 +432,7 @@ def test_nearest_longest_outside_sample(spark, length):
     rng = np.random.default_rng(4)
     v = rng.standard_normal((8_000, 64))
     v /= np.sqrt((v**2).sum(axis=1, keepdims=True))
-    share = hamming_search.SAMPLE_ROWS / len(v)
-    ids = spark.range(len(v)).selectExpr("id", f"pmod(xxhash64(id, 5), 1000000) < {int(share * 1_000_000)} as sampled")
+    ids = spark.range(len(v)).selectExpr("id", f"shiftrightunsigned(xxhash64(id, 5), 1) <= {(2**63 - 1) * hamming_search.SAMPLE_ROWS // len(v)} as sampled")
     outside = ids.where("not sampled and id % 20 <> 0").first().id
     v[outside] *= length
     assert recall_at_k(spark, v, 20) >= 0.9
@@ -375,10 +463,12 @@ def brute_repair(roles):
         if best is not None and cost >= best:
             return
         if i == len(roles):
-            end = {-1: 0 if not roles else 99, 0: 6, 1: 3, 2: 0}[state]
+            end = {-1: 0 if not roles else 99, 0: 6, 1: 3, 2: 0, 3: 3}[state]
             best = cost + end if best is None else min(best, cost + end)
             return
         for r, name in enumerate(chat_format.ROLES):
+            if name == "tool" and roles[i] != "tool":
+                continue
             price = cost + (0 if roles[i] == name else 2)
             if state == r:
                 go(i + 1, r, price + 1)
@@ -387,6 +477,9 @@ def brute_repair(roles):
             for b in (1, 2):
                 if (state, b) in chat_format.FOLLOWS and (b, r) in chat_format.FOLLOWS:
                     go(i + 1, r, price + 3)
+                for c in (1, 2):
+                    if (state, b) in chat_format.FOLLOWS and (b, c) in chat_format.FOLLOWS and (c, r) in chat_format.FOLLOWS:
+                        go(i + 1, r, price + 6)
 
     go(0, -1, 0)
     return best
@@ -402,11 +495,18 @@ def test_repair_cost(roles):
     assert all(s in chat_format.FOLLOWS for s in zip(states, states[1:])) and (states[-1] == 2 or not roles)
 
 
+def format_rows(spark, rows):
+    return chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+
+
 def test_chats(spark):
-    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", None), (2, None, "user", "x"), (None, 0, None, "y")]
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", None), (2, None, "user", "x"), (None, 0, None, "y"), (3, 0, "user", "say <|im_end|>"), (3, 1, "assistant", "call"), (3, 2, "tool", "result"), (3, 3, "assistant", "done")]
     got = {r.conv_id: r for r in chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert got[1].rendered == "<|im_start|>user\na\n\nb<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n" and got[1].n_merged == 1
     assert got[2].n_inserted == 1 and got[None].n_turns == 1
+    assert got[3].cost == 0 and got[3].rendered.count("<|im_end|>") == 4 and "say <|im_end |>" in got[3].rendered
+    several = format_rows(spark, [(None, i, "user", f"t{i}") for i in range(5)])
+    assert len(several) == 5 and all(r.n_turns == 1 for r in several)
 
 
 def test_empty_tables(spark):
