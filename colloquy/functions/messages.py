@@ -68,17 +68,16 @@ def adjacent_equal(messages: Column, among: list[str]) -> Column:
 def full_text(messages: Column, budget: int) -> Column:
     """Messages as "[ROLE]: text" lines within a budget of characters.
 
-    System text may use only what the other messages leave, and stands first; text
-    that does not fit is cut and marked.
+    System text stands first and may use only what the other messages and a line end
+    leave; text that does not fit is cut and marked.
     """
-    line = lambda m: F.concat(F.lit("["), F.upper(m.role), F.lit("]: "), strip(F.coalesce(m.content, F.lit(""))))
-    cut = lambda t, n: F.when(F.length(t) <= n, t).when(n > 0, F.concat(F.left(t, n), F.lit(" ...[truncated]"))).otherwise(F.lit(""))
-    filled = F.filter(messages, lambda m: ~is_blank(m.content))
-    rest = F.array_join(F.transform(F.filter(filled, lambda m: m.role != "system"), line), "\n")
-    system = F.array_join(F.transform(of_role(filled, "system"), line), "\n")
-    rest_cut = cut(rest, F.lit(budget))
-    system_cut = cut(system, F.greatest(F.lit(budget) - F.length(rest), F.lit(0)))
-    return F.concat_ws("\n", F.when(system_cut != "", system_cut), F.when(rest_cut != "", rest_cut))
+    line = lambda m: F.concat(F.lit("["), F.upper(m.role), F.lit("]: "), F.coalesce(m.content, F.lit("")))
+    cut = lambda t, n: F.when(F.length(t) <= n, t).otherwise(F.concat(F.left(t, n), F.lit(" ...[truncated]")))
+    rest = F.array_join(F.transform(F.filter(messages, lambda m: m.role != "system"), line), "\n")
+    system = F.array_join(F.transform(of_role(messages, "system"), line), "\n")
+    room = F.lit(budget) - F.length(rest) - 1
+    both = F.when((system != "") & (room > 0), F.concat(cut(system, room), F.lit("\n"), rest)).otherwise(rest)
+    return F.when(rest == "", cut(system, F.lit(budget))).when(F.length(rest) > budget, cut(rest, F.lit(budget))).otherwise(both)
 
 
 def trim_to_last(messages: Column, role: str = "assistant") -> Column:

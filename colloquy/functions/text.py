@@ -51,6 +51,33 @@ def ngrams(w: Column, n: int) -> Column:
     return let(w, over)
 
 
+def most_frequent(values: Column, k: int) -> Column:
+    """times and pos (from 1) of the k most frequent values of an array; ties: first seen.
+
+    Values are sorted beside their places, so that equal ones form runs.
+    """
+
+    def runs(s: Column) -> Column:
+        marked = F.transform(s, lambda e, j: F.struct(e.pos.alias("pos"), j.alias("j"), F.get(s, j - 1).v.eqNullSafe(e.v).alias("again")))
+        return let(F.filter(marked, lambda e: ~e.again), lambda heads: F.transform(heads, lambda e, j: F.struct((e.j - F.coalesce(F.get(heads, j + 1).j, F.size(s))).alias("n"), e.pos.alias("pos"))))
+
+    placed = F.transform(values, lambda v, i: F.struct(v.alias("v"), (i + 1).alias("pos")))
+    best = F.slice(F.array_sort(let(F.array_sort(placed), runs)), 1, k)
+    return F.transform(best, lambda e: F.struct((-e.n).alias("times"), e.pos.alias("pos")))
+
+
+def top_grams(parts: Column, n: int, k: int, step: int = 1) -> Column:
+    """times and gram of the k most frequent runs of n parts (words, characters) of a text, compared by hash."""
+
+    def over(x: Column) -> Column:
+        last = F.size(x) - (n - 1)
+        at = F.when(last >= 1, F.sequence(F.lit(1), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
+        best = most_frequent(F.transform(at, lambda i: F.xxhash64(F.slice(x, i, n))), k)
+        return F.transform(best, lambda e: F.struct(e.times.alias("times"), F.slice(x, (e.pos - 1) * step + 1, n).alias("gram")))
+
+    return let(parts, over)
+
+
 def repetition_ratio(c: Column, n: int = 3, least: int = 20) -> Column:
     """Share of n-grams that repeat an earlier one; 0 below ``least`` words."""
 

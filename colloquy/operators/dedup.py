@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse, ngrams, words
+from ..functions.text import collapse, let, ngrams, top_grams, words
 
 
 def text_key(c: Column) -> Column:
@@ -45,10 +45,19 @@ def top_phrases(df: DataFrame, key: str, text: str, n: int, k: int) -> DataFrame
     return counted.withColumn("rank", rank).where(F.col("rank") <= k).select(key, "gram", "times", "rank")
 
 
+def looped(c: Column, words_least: int = 150, times: int = 12, lettered: int = 5) -> Column:
+    """How often the most frequent ten words occur where they are a loop, else null. Counted within the row."""
+
+    def over(w: Column) -> Column:
+        top = F.get(F.filter(top_grams(w, 10, 1), lambda g: (g.times >= times) & (F.size(F.filter(g.gram, lambda x: x.rlike(r"\p{L}"))) >= lettered)), F.lit(0))
+        return F.when(F.size(w) >= words_least, top.times)
+
+    return let(words(c), over)
+
+
 def phrase_loops(df: DataFrame, key: str, text: str, words_least: int = 150, times: int = 12, lettered: int = 5) -> DataFrame:
     """key and times of texts whose most frequent ten-word phrase is a loop."""
-    long = df.where(F.size(words(F.col(text))) >= words_least)
-    return top_phrases(long, key, text, 10, 1).where((F.col("times") >= times) & (F.size(F.filter(F.split("gram", " "), lambda w: w.rlike(r"\p{L}"))) >= lettered)).select(key, "times")
+    return df.select(key, looped(F.col(text), words_least, times, lettered).cast("long").alias("times")).where("times is not null")
 
 
 def repeated_prompts(chats: DataFrame, prompt: Column, answer: Column, least: int, different: int = 3) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -55,3 +56,22 @@ def sweep(scores: DataFrame, thresholds: list[float]) -> DataFrame:
 def confusion(pairs: DataFrame, k: int) -> DataFrame:
     """The k most frequent pairs of unequal truth and predicted."""
     return pairs.where("truth <> predicted").groupBy("truth", "predicted").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "truth", "predicted").limit(k)
+
+
+def risk_coverage(rows: DataFrame, order: list[str], wrong: str, parts: int = 10) -> DataFrame:
+    """tenth, n, risk: the mean of ``wrong`` in parts of equal size, in order.
+
+    Rows are sorted by ranges, so that no task holds them all; what a range's first
+    row is preceded by comes from the ranges' sizes.
+    """
+    # a rank within each range, plus the sizes of the ranges before
+    edges = rows.stat.approxQuantile(order[0], [i / 32 for i in range(1, 32)], 0.01)
+    place = F.size(F.filter(F.array(*(F.lit(float(e)) for e in sorted(set(edges)))), lambda e: e < F.col(order[0]))) if edges else F.lit(0)
+    ranged = rows.withColumn("_range", place)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)))  # at most 32 rows
+    total = F.sum("_n").over(W.partitionBy())
+    before = before.select("_range", F.coalesce("_before", F.lit(0)).alias("_before"), total.alias("_total"))
+    ranked = ranged.withColumn("_rank", F.row_number().over(W.partitionBy("_range").orderBy(*order))).join(before, "_range")
+    at = (F.col("_before") + F.col("_rank") - 1) / F.greatest(F.col("_total") - 1, F.lit(1))
+    return ranked.withColumn("_at", at).where("_at < 1").groupBy(F.floor(F.col("_at") * parts).cast("int").alias("tenth")).agg(F.count("*").alias("n"), F.round(F.avg(wrong), 6).alias("risk"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import alpha_count
+from ..functions.text import alpha_count, let
 
 # Ordered keyword rules of the fallback categories.
 KEYWORDS = [
@@ -34,13 +36,16 @@ def language_bucket(text: Column, lang: Column, confidence: Column, least: float
 
 
 def keyword_category(text: Column) -> Column:
-    """The first category with a keyword in the text."""
-    low = F.lower(text)
-    out = None
-    for name, found in KEYWORDS:
-        hit = low.rlike("|".join(found))
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise(NO_KEYWORD)
+    """The first category with a keyword in the text, which is lowered once and searched until the first hit."""
+
+    def over(low: Column) -> Column:
+        out = None
+        for name, found in KEYWORDS:
+            hit = reduce(Column.__or__, [F.contains(low, F.lit(k)) for k in found])
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return out.otherwise(NO_KEYWORD)
+
+    return let(F.lower(text), over)
 
 
 def by_rules(name: Column, rules: list[tuple[str, str]], default: str) -> Column:
@@ -54,8 +59,8 @@ def sane(value: Column, fallback: Column) -> Column:
 
 
 def mapped(df: DataFrame, mapping: DataFrame, key: str, value: str, default: str = "__GAP__") -> DataFrame:
-    """df with a value looked up in a small mapping; misses get the default."""
-    return df.join(F.broadcast(mapping.select(key, value)), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+    """df with a value looked up in a mapping; misses get the default."""
+    return df.join(mapping.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
 
 
 def salvage(text: Column, keys: list[str]) -> Column:

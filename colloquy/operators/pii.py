@@ -20,11 +20,12 @@ PLACEHOLDER_EMAIL = (
 PHONE = r"(?<![\w.+-])(?:\+\d{1,3}[\s.-]\(?\d{1,4}\)?(?:[\s.-]\d{2,4}){2,4}|\(\d{3}\)\s?\d{3}[\s.-]\d{4}|\b\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"
 SECRET = (
     r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{32,}|xox[baprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}"
+    r"|-----BEGIN (?:RSA |EC |OPENSSH |DSA )?PRIVATE KEY-----[\s\S]*?(?:-----END (?:RSA |EC |OPENSSH |DSA )?PRIVATE KEY-----|$)"
     r"|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"
 )
 CARD = r"(?<!\d )(?<![\d.\-/=_:\\])(?:4\d{3}|5[1-5]\d{2}|3[47]\d{2}|6011|35\d{2})[ -]\d{4}[ -]\d{4}[ -]\d{2,4}(?![\d.\-/_])(?! \d)"
 SSN = r"(?i)((?:ssn|social security(?: number)?)\D{0,20})(\d{3}-\d{2}-\d{4})"
-IPV4 = r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|[01]?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|[01]?\d?\d))(?!\w|\.\d|/\d)"
+IPV4 = r"(?<![\w.=<>~-])((?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\.){3}(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?))(?!\w|\.\d|/\d)"
 EMAIL_ANY = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_ANY = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
 WELL_KNOWN_IPS = ["8.8.8.8", "8.8.4.4", "1.1.1.1", "1.0.0.1", "9.9.9.9", "149.112.112.112", "208.67.222.222", "208.67.220.220", "4.2.2.2"]

@@ -69,9 +69,8 @@ def counted(df: DataFrame, flags: dict[str, Column], by: list[str] | None = None
 
 def needles(df: DataFrame, needle: str, most: int = 3) -> DataFrame:
     """column and value of the first rows of each string column that hold a needle."""
-    names = [n for n, t in df.dtypes if t == "string"]
-    rows = df.select(F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).alias("value")) for n in names))).alias("x")).select("x.*")
-    from pyspark.sql import Window as W
-
-    hits = rows.where(F.contains("value", F.lit(needle)))
-    return hits.withColumn("r", F.row_number().over(W.partitionBy("column").orderBy("value"))).where(F.col("r") <= most).drop("r")
+    found = None
+    for n in [n for n, t in df.dtypes if t == "string"]:  # the least values of each column, kept by every task of a scan of that column alone
+        part = df.select(F.lit(n).alias("column"), F.col(n).alias("value")).where(F.contains("value", F.lit(needle))).orderBy("value").limit(most)
+        found = part if found is None else found.unionByName(part)
+    return found

@@ -144,11 +144,12 @@ def too_long(t):
 
 
 @query(
-    rf"""WITH x AS (SELECT conv_id, string_agg('[' || upper(role) || ']: ' || {_STRIP.format('text')}, chr(10) ORDER BY turn) FILTER (role <> 'system') AS rest,
-  string_agg('[' || upper(role) || ']: ' || {_STRIP.format('text')}, chr(10) ORDER BY turn) FILTER (role = 'system') AS sys FROM conversations GROUP BY conv_id),
-y AS (SELECT conv_id, coalesce(rest, '') AS rest, coalesce(sys, '') AS sys, greatest(3500 - length(coalesce(rest, '')), 0) AS room FROM x)
-SELECT conv_id, md5(concat_ws(chr(10), nullif(CASE WHEN length(sys) <= room THEN sys WHEN room > 0 THEN left(sys, room) || ' ...[truncated]' ELSE '' END, ''),
-  nullif(CASE WHEN length(rest) <= 3500 THEN rest ELSE left(rest, 3500) || ' ...[truncated]' END, ''))) AS text_md5 FROM y"""
+    r"""WITH x AS (SELECT conv_id, coalesce(string_agg('[' || upper(role) || ']: ' || text, chr(10) ORDER BY turn) FILTER (role <> 'system'), '') AS rest,
+  coalesce(string_agg('[' || upper(role) || ']: ' || text, chr(10) ORDER BY turn) FILTER (role = 'system'), '') AS sys FROM conversations GROUP BY conv_id),
+y AS (SELECT *, 3500 - length(rest) - 1 AS room FROM x)
+SELECT conv_id, md5(CASE WHEN rest = '' THEN CASE WHEN length(sys) > 3500 THEN left(sys, 3500) || ' ...[truncated]' ELSE sys END
+  WHEN length(rest) > 3500 THEN left(rest, 3500) || ' ...[truncated]'
+  WHEN sys <> '' AND room > 0 THEN CASE WHEN length(sys) > room THEN left(sys, room) || ' ...[truncated]' ELSE sys END || chr(10) || rest ELSE rest END) AS text_md5 FROM y"""
 )
 def full_text_render(t):
     return M.from_turns(t("conversations")).select("conv_id", F.md5(M.full_text(F.col("messages"), 3500)).alias("text_md5"))
@@ -166,11 +167,11 @@ def content_hash_dedup(t):
 
 @query(
     r"""WITH u AS (SELECT conv_id, arg_min(text, turn) AS u FROM conversations WHERE role = 'user' GROUP BY conv_id),
-k AS (SELECT conv_id, left(lower(u), 2) AS k FROM u)
+k AS (SELECT conv_id, lower(u) AS k FROM u)
 SELECT conv_id, k FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY conv_id) AS r FROM k) WHERE r <= 2"""
 )
 def prompt_cap(t):
-    chats = M.from_turns(t("conversations")).select("conv_id", F.left(F.lower(M.first_of(F.col("messages"), "user")), F.lit(2)).alias("k")).where("k is not null")
+    chats = M.from_turns(t("conversations")).select("conv_id", F.lower(M.first_of(F.col("messages"), "user")).alias("k")).where("k is not null")
     return dedup.cap_by_key(chats, ["k"], ["conv_id"], 2)
 
 

@@ -217,9 +217,13 @@ b AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) -
 SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (g) GROUP BY doc_id, item_id"""
 )
 def decontam_ngram_overlap(t):
-    grams = lambda df, key: df.select(key, F.explode(T.ngrams(T.words(F.lower("text")), 8)).alias("g"))
-    items = grams(t("benchmark"), "item_id").distinct()
-    return grams(t("documents"), "doc_id").join(items, "g").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
+    def grams(df, key):
+        w = T.words(F.lower("text"))
+        hashed = T.let(w, lambda x: F.array_distinct(F.transform(F.when(F.size(x) >= 8, F.sequence(F.lit(1), F.size(x) - 7)).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(F.slice(x, i, 8)))))
+        return df.select(key, F.explode(hashed).alias("g"))
+
+    # distinct within each row, so nothing is to be made distinct after the join
+    return grams(t("documents"), "doc_id").join(grams(t("benchmark"), "item_id"), "g").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
 
 
 @query("SELECT quality, toxic, count(*) AS n, count(DISTINCT source) AS n_sources FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality, toxic")
@@ -227,10 +231,13 @@ def labels_left(t):
     return t("documents").join(t("labels"), "doc_id", "left").groupBy("quality", "toxic").agg(F.count("*").alias("n"), F.countDistinct("source").alias("n_sources"))
 
 
-@query("SELECT phrase, count(*) AS n FROM documents JOIN (SELECT unnest(['idiot', 'token =', 'MIT License', 'example.com']) AS phrase) ON contains(text, phrase) GROUP BY phrase")
+@query("SELECT phrase, count(*) AS n FROM documents JOIN (SELECT unnest(['idiot', 'token =', 'mit license', 'example.com']) AS phrase) ON contains(lower(text), phrase) GROUP BY phrase")
 def phrase_contains_join(t):
-    phrases = F.array(*map(F.lit, ["idiot", "token =", "MIT License", "example.com"]))
-    return t("documents").select(F.explode(F.filter(phrases, lambda p: F.contains("text", p))).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("n"))
+    from ..operators.joins import phrases_in
+
+    docs = t("documents").select("text")
+    phrases = docs.sparkSession.createDataFrame([(p, p) for p in ("idiot", "token =", "mit license", "example.com")], "phrase string, label string")
+    return phrases_in(docs, "text", phrases).groupBy("phrase").agg(F.count("*").alias("n"))
 
 
 _SHUFFLED = "md5(CAST(doc_id AS VARCHAR)), doc_id"

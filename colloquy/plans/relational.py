@@ -59,10 +59,7 @@ def error_rate_by_source(t):
 
 @query(f"SELECT CAST(floor(place * 10) AS INTEGER) AS tenth, count(*) AS n, round(avg(CASE WHEN truth <> predicted THEN 1.0 ELSE 0.0 END), 6) AS risk FROM (SELECT *, percent_rank() OVER (ORDER BY size, doc_id) AS place FROM {_JUDGED}) WHERE place < 1 GROUP BY 1")
 def risk_coverage(t):
-    from pyspark.sql import Window as W
-
-    placed = _judged(t).withColumn("place", F.percent_rank().over(W.orderBy("size", "doc_id"))).where("place < 1")
-    return placed.groupBy(F.floor(F.col("place") * 10).cast("int").alias("tenth")).agg(F.count("*").alias("n"), F.round(F.avg((F.col("truth") != F.col("predicted")).cast("double")), 6).alias("risk"))
+    return evaluation.risk_coverage(_judged(t).withColumn("wrong", (F.col("truth") != F.col("predicted")).cast("double")), ["size", "doc_id"], "wrong")
 
 
 @query("SELECT labels, count(*) AS n FROM (SELECT doc_id, list_filter([CASE WHEN quality = 1 THEN 'good' END, CASE WHEN toxic = 1 THEN 'toxic' END, 'any'], lambda x: x IS NOT NULL)[1:2] AS l, array_to_string(l, ',') AS labels FROM labels) GROUP BY labels")
@@ -176,13 +173,12 @@ def upserted(t):
     return upsert(base, changes, "vec_id")
 
 
-@query("SELECT state, count(*) AS n FROM (SELECT CASE WHEN a.doc_id IS NULL THEN 'no_left' WHEN b.doc_id IS NULL THEN 'no_right' WHEN a.v = b.v THEN 'equal' ELSE 'different' END AS state FROM (SELECT doc_id, n_chars AS v FROM documents WHERE doc_id % 2 = 0) a FULL JOIN (SELECT doc_id, length(text) + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS v FROM documents WHERE doc_id % 3 = 0) b ON a.doc_id = b.doc_id) GROUP BY state")
+@query("SELECT state, count(*) AS n FROM (SELECT CASE WHEN a.doc_id IS NULL THEN 'no_left' WHEN b.doc_id IS NULL THEN 'no_right' WHEN a.v = b.v THEN 'equal' ELSE 'different' END AS state FROM (SELECT doc_id, n_chars AS v FROM documents WHERE lang IS NOT NULL) a FULL JOIN (SELECT doc_id, 1000 * (quality + toxic) AS v FROM labels) b ON a.doc_id = b.doc_id) GROUP BY state")
 def state_check(t):
     from ..operators.joins import reconciled
 
-    docs = t("documents")
-    left = docs.where("doc_id % 2 = 0").select("doc_id", F.col("n_chars").alias("v"))
-    right = docs.where("doc_id % 3 = 0").select("doc_id", (F.length("text") + F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).alias("v"))
+    left = t("documents").where("lang is not null").select("doc_id", F.col("n_chars").alias("v"))
+    right = t("labels").select("doc_id", (1000 * (F.col("quality") + F.col("toxic"))).alias("v"))
     return reconciled(left, right, "doc_id", "v").groupBy("state").agg(F.count("*").alias("n"))
 
 
