@@ -12,9 +12,9 @@ from pyspark.sql.types import StringType
 
 from ..functions import messages as M
 from ..functions.text import is_blank, strip
+from .rules import END_TOKENS, collapsed_think
 
-# End tokens of chat templates, and bodies that count as no thought.
-END_TOKENS = r"(?:\s*(?:<\|im_end\|>|<\|eot_id\|>|<\|eom_id\|>|<\|end_of_text\|>|<\|endoftext\|>|<\|im_sep\|>|</s>))+\s*\z"
+# Bodies that count as no thought.
 EMPTY_THINK = r"(?is)<think>\s*(?:none|null|n/a|nan)?\s*</think>\s*"
 
 
@@ -30,7 +30,7 @@ REPAIRS = {
     "role_renamed": canonical_roles,
     "empty_system_dropped": lambda m: F.filter(m, lambda x: (x.role != "system") | ~is_blank(x.content)),
     "special_token_end_stripped": lambda m: _content(m, None, lambda c: F.regexp_replace(c, END_TOKENS, "")),
-    "duplicate_think_tag_collapsed": lambda m: _content(m, "assistant", lambda c: F.regexp_replace(F.regexp_replace(c, r"(?:<think>\s*){2,}", "<think>"), r"(?:</think>\s*){2,}", "</think>\n")),
+    "duplicate_think_tag_collapsed": lambda m: _content(m, "assistant", collapsed_think),
     "empty_think_stripped": lambda m: _content(m, "assistant", lambda c: F.regexp_replace(c, EMPTY_THINK, "")),
     "answer_tag_unwrapped": lambda m: _content(m, "assistant", lambda c: F.when(c.rlike("(?i)</?answer>"), strip(F.regexp_replace(c, "(?i)</?answer>", ""))).otherwise(c)),
     "trailing_turns_trimmed": lambda m: M.trim_to_last(m, "assistant"),
