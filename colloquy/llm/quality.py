@@ -43,8 +43,8 @@ _CLASS[128:] = 5
 for _kind, _chars in zip(range(6, 15), [".", ",", "!", "?", "\"'`", "()[]{}<>", "|/\\", "*#&%$@^~_+=", "-:;"]):
     _CLASS[np.frombuffer(_chars.encode(), np.uint8)] = _kind
 TRIGRAMS = 16**3
-#: Slots of the hashed words.
-WORD_BITS = 12
+#: Slots of the hashed words; with the sample they bound what the driver holds (some 60 MB).
+WORD_BITS = 10
 TERMS = TRIGRAMS + (1 << WORD_BITS)
 SHARES = 8
 
@@ -80,6 +80,7 @@ class Voter:
     """The latent space and the labelled vectors in it."""
 
     def __init__(self, rows: np.ndarray, labels: np.ndarray, shares: dict[int, float]):
+        """rows: features of the sample; they are weighted in place, so that the driver holds them once."""
         self.share = shares.get(1, 0.5) if shares else 0.5
         self.labels = labels.astype(np.float32)
         if not len(rows):
@@ -88,9 +89,10 @@ class Voter:
         self.weights = np.ones(rows.shape[1], np.float32)
         self.weights[:TERMS] = np.log((1 + len(rows)) / (1 + present))
         self.weights[TERMS:] = 2.0
-        x = rows * self.weights
+        x = rows
+        x *= self.weights
         self.mean = x.mean(axis=0)
-        x = x - self.mean
+        x -= self.mean
         rng = np.random.default_rng(7)
         y = x @ rng.standard_normal((x.shape[1], min(DIMENSIONS + 16, len(x)))).astype(np.float32)
         for _ in range(3):
@@ -127,7 +129,7 @@ def _feature_rows(batches, extra: list[str]):
     for batch in batches:
         buf, off = tb.as_bytes(batch.column("text"))
         for i, j in tb.chunks(off):
-            for a in range(i, j, 512):  # 32 KB of features a row
+            for a in range(i, j, 512):  # 20 KB of features a row
                 b = min(a + 512, j)
                 yield [batch.column(c)[a:b] for c in extra], features(buf[off[a] : off[b]], off[a : b + 1] - off[a])
 
@@ -152,8 +154,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
     # at most two samples' ids; of rows that share a doc_id one text is learned from
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     found = sorted((q, bytes(f)) for q, f in sample.select("quality", "text").mapInArrow(run, "quality int, features binary").collect())
-    rows = np.stack([np.frombuffer(zlib.decompress(f), np.float32) for _, f in found]) if found else np.zeros((0, TERMS + SHARES), np.float32)
-    return Voter(rows, np.array([q for q, _ in found]), {q: n / total for q, n in counts.items()})
+    rows, quality = np.empty((len(found), TERMS + SHARES), np.float32), np.array([q for q, _ in found])
+    for i in range(len(found)):
+        rows[i] = np.frombuffer(zlib.decompress(found[i][1]), np.float32)
+        found[i] = None
+    return Voter(rows, quality, {q: n / total for q, n in counts.items()})
 
 
 def score(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD, keep: bool = False) -> DataFrame:

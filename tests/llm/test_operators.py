@@ -324,7 +324,7 @@ def test_votes_brute():
     rng = np.random.default_rng(1)
     rows = np.abs(rng.standard_normal((60, quality.TERMS + quality.SHARES))).astype(np.float32)
     labels = (np.arange(60) % 3 == 0).astype(int)
-    voter = quality.Voter(rows, labels, {0: 0.4, 1: 0.6})
+    voter = quality.Voter(rows.copy(), labels, {0: 0.4, 1: 0.6})
     asked = np.abs(rng.standard_normal((20, rows.shape[1]))).astype(np.float32)
     v = (asked * voter.weights - voter.mean) @ (voter.axes / voter.weights[:, None].clip(1e-9))
     for r, s in enumerate(voter.score(asked)):
