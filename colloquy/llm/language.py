@@ -25,7 +25,7 @@ from . import textblocks as tb
 from .unitcache import ragged
 
 #: Labelled documents of each language that the model is fitted on, at most (expected number).
-SAMPLE_PER_LANGUAGE = 5_000
+SAMPLE_PER_LANGUAGE = 1_500
 #: Characters of the longest n-grams.
 LONGEST = 4
 
