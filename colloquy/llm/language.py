@@ -58,34 +58,33 @@ def _grams(code: np.ndarray, off: np.ndarray):
 
 
 class Model:
-    def __init__(self, languages: list[str], words: list[tuple[str, bytes, int]]):
-        """words: (language, word, count)."""
+    def __init__(self, languages: list[str], counts: pa.Table | None):
+        """counts: lang, size (0: a word, else the characters of an n-gram), key (its hash), n; one row for each."""
         self.languages = languages
         if not languages:
             return
-        number = {x: i for i, x in enumerate(languages)}
-        texts: dict[bytes, int] = {}
-        rows, langs, counts = [], [], []
-        for language, word, count in words:
-            rows.append(texts.setdefault(word, len(texts)))
-            langs.append(number[language])
-            counts.append(count)
-        seen = np.zeros((len(texts), len(languages)))
-        np.add.at(seen, (rows, langs), counts)
-        buf = np.frombuffer(b"".join(texts), np.uint8)
-        off = np.concatenate([[0], np.cumsum([len(w) for w in texts])]).astype(np.int64)
-        keys = tb.span_hashes(buf, off[:-1], off[1:])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.word_scores = self._log(seen)[order].astype(np.float32)
-        code, off = self._marked(buf, off[:-1], off[1:])
-        weights = np.repeat(seen, np.diff(off), axis=0)
-        self.gram_keys, self.gram_scores = [], []
-        for grams, some in _grams(code, off):
-            known, of = np.unique(grams[some], return_inverse=True)
-            table = np.stack([np.bincount(of, weights[some, k], len(known)) for k in range(len(languages))], axis=1)
-            self.gram_keys.append(known)
-            self.gram_scores.append(self._log(table).astype(np.float32))
+        language = np.searchsorted(np.array(languages), counts.column("lang").to_numpy().astype(str))
+        size, key, times = (counts.column(c).to_numpy() for c in ("size", "key", "n"))
+        tables = []
+        for n in range(LONGEST + 1):
+            mine = np.flatnonzero(size == n)
+            keys, of = np.unique(key[mine].view(np.uint64), return_inverse=True)
+            table = np.zeros((len(keys), len(languages)))
+            table[of, language[mine]] = times[mine]
+            tables.append((keys, self._log(table).astype(np.float32)))
+        self.keys, self.word_scores = tables[0]
+        self.gram_keys, self.gram_scores = [t[0] for t in tables[1:]], [t[1] for t in tables[1:]]
+
+    @classmethod
+    def of_words(cls, languages: list[str], words: list[tuple[str, bytes, int]]) -> Model:
+        """The model of (language, word, count)."""
+        parts = []
+        for name in languages:
+            mine = [(w, n) for x, w, n in words if x == name]
+            buf, ends = np.frombuffer(b"".join(w for w, _ in mine), np.uint8), np.cumsum([0, *(len(w) for w, _ in mine)])
+            keys = tb.span_hashes(buf, ends[:-1], ends[1:])
+            parts.append(tallies(name, buf, ends[:-1], ends[1:], keys, np.array([n for _, n in mine], np.int64)))
+        return cls(languages, pa.Table.from_batches(parts).group_by(["lang", "size", "key"]).aggregate([("n", "sum")]).rename_columns(["lang", "size", "key", "n"]))
 
     @staticmethod
     def _marked(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,13 +134,26 @@ class Model:
         return out, np.diff(rows)
 
 
+def tallies(language: str, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """lang, size, key, n of the words at starts (their hashes are keys), met ``times`` times, and of their n-grams."""
+    code, wide = Model._marked(buf, starts, ends)
+    weights = np.repeat(times, np.diff(wide))
+    found = [(keys, times)]
+    for grams, some in _grams(code, wide):
+        known, at = np.unique(grams[some], return_inverse=True)
+        found.append((known, np.bincount(at, weights[some], len(known)).astype(np.int64)))
+    sizes = np.repeat(np.arange(len(found), dtype=np.int32), [len(k) for k, _ in found])
+    key, n = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    return pa.RecordBatch.from_pydict({"lang": pa.array([language] * len(key), pa.string()), "size": pa.array(sizes), "key": pa.array(key.view(np.int64)), "n": pa.array(n, pa.int64())})
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Learn from text and lang of documents that are not held out, ``sample`` of each language at most."""
     ship(docs.sparkSession)
     known = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     counts = known.groupBy("lang").count().collect()  # one row for each language
     if not counts:
-        return Model([], [])
+        return Model([], None)
     limits = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, (2**63 - 1) * min(sample, n) // n)))
     known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) <= F.element_at(limits, F.col("lang")))
 
@@ -157,14 +169,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
                 of = np.repeat(of, np.diff(rows))
                 for k, name in enumerate(names):
                     mine = np.flatnonzero(of == k)
-                    _, first, times = np.unique(hashes[mine], return_index=True, return_counts=True)
+                    keys, first, times = np.unique(hashes[mine], return_index=True, return_counts=True)
                     first = mine[first]
-                    words = [low[s:e].tobytes() for s, e in zip(starts[first], ends[first])]
-                    yield pa.RecordBatch.from_pydict({"lang": pa.array([str(name)] * len(words), pa.string()), "word": pa.array(words, pa.binary()), "n": pa.array(times, pa.int64())})
+                    yield tallies(str(name), low, starts[first], ends[first], keys, times)
 
-    counted = known.select("text", "lang").mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words = [(r[0], bytes(r[1]), r[2]) for r in counted.collect()]  # the vocabulary of the sample
-    return Model(sorted({w[0] for w in words}), words)
+    counted = known.select("text", "lang").mapInArrow(count, "lang string, size int, key long, n long").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
+    table = counted.toArrow()  # hashes and counts of the sample's words and n-grams
+    return Model(sorted(set(table.column("lang").unique().to_pylist())), table)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

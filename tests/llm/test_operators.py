@@ -304,7 +304,7 @@ def brute_language(model_words, text):
 
 def test_language_brute():
     words = [("de", "straße".encode(), 4), ("de", b"und", 9), ("en", b"the", 9), ("en", b"street", 3), ("zh", "漢字文".encode(), 5), ("zh", "文字".encode(), 2)]
-    model = language.Model(["de", "en", "zh"], words)
+    model = language.Model.of_words(["de", "en", "zh"], words)
     for text in ("the straße", "strasse undo", "漢字 文漢", "theta 文字文 x", "zzz"):
         raw = np.frombuffer(text.encode(), np.uint8)
         got, _ = model.score(raw, np.array([0, len(raw)], np.int64))
@@ -335,7 +335,7 @@ def test_votes_brute():
 
 
 def test_language_letters(spark):
-    model = language.Model(["en", "fr"], [("en", b"the", 5), ("fr", b"le", 5)])
+    model = language.Model.of_words(["en", "fr"], [("en", b"the", 5), ("fr", b"le", 5)])
     rows = [(1, None), (2, ""), (3, "12 !?"), (4, "the the"), (5, "—"), (6, "漢字"), (None, "le")]
     got = {r.doc_id: (r.lang_pred, r.held_out is not None) for r in language.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert [got[i][0] for i in (1, 2, 3, 5)] == ["und"] * 4 and got[4][0] == "en" and got[6][0] != "und" and got[None][0] == "fr"
