@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,10 @@ from .staging import Stages, keep_shared
 
 #: Parts into which the windows of an anchor are divided by their offset.
 PARTS = 4
-#: Bytes of a shard; a group of equal cores is never divided.
+#: Bytes of a shard; it ends with the last row of a group of equal cores.
 SHARD_BYTES = 4 << 20
+#: Pieces of a group of equal cores that one task sorts; larger groups are divided by longer cores.
+KEY_ROWS = 8_192
 
 
 class Shape:
@@ -159,6 +162,9 @@ def cover(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.append(0, cut)], starts[np.append(cut - 1, len(starts) - 1)] + length
 
 
+_PIECE = ["key", "anchor", "ctx", "times", "bytes", "lo", "first", "last"]
+
+
 def _sorted_marks(pieces: DataFrame, shape: Shape) -> DataFrame:
     """(anchor, ctx, a, b): covered runs, relative to the anchor, of pieces sorted in shards."""
 
@@ -201,6 +207,38 @@ def _sorted_marks(pieces: DataFrame, shape: Shape) -> DataFrame:
     return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(run, "anchor long, ctx long, a int, b int")
 
 
+def _divided_marks(pieces: DataFrame, shape: Shape, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """Marks of equal pieces of large groups, and the unlike pieces left, in groups of at most KEY_ROWS.
+
+    One piece of each kind stays as the others' partner. While a group has too many
+    kinds, its pieces are cut in four by their windows' starts, and what were equal
+    cores becomes equal longer cores; where a single start is left, the core is the
+    whole window. So nothing is lost and no task holds a group of any size.
+    """
+    marks, small = [], []
+    width = shape.part
+    text = lambda *columns: F.concat(*(F.concat(F.col(c).cast("string"), F.lit(" ")).cast("binary") for c in columns), F.col("bytes"))
+    while True:
+        pieces = stages.keep(pieces.withColumn("kind", F.sha2(text("key", "lo"), 256)), "pieces")
+        equal = keep_shared(pieces.select("kind", "anchor", "ctx", "times", "first", "last"), "kind", ["ctx"])
+        marks.append(stages.keep(equal.where("times = 1").select("anchor", "ctx", F.col("first").alias("a"), (F.col("last") + shape.length).cast("int").alias("b")), "marks"))
+        kinds = pieces.groupBy("key", "anchor", "kind", "bytes", "lo", "first", "last", "s0", "s1").agg(F.min("ctx").alias("ctx"), F.greatest(F.max("times"), F.count("*")).alias("times"))
+        kinds = stages.keep(kinds, "kinds")
+        stages.drop(pieces)
+        sizes = stages.keep(kinds.groupBy("key").count().where("count > 1"), "sizes")
+        small.append(kinds.join(sizes.where(F.col("count") <= KEY_ROWS), "key", "left_semi").select(*_PIECE))
+        large = sizes.where(F.col("count") > KEY_ROWS)
+        if width == 1 or large.isEmpty():
+            break
+        width = -(-width // 4)
+        cut = kinds.join(large, "key", "left_semi").withColumn("a", F.explode(F.sequence("s0", "s1", F.lit(width)))).withColumn("b", F.least(F.col("a") + width - 1, "s1"))
+        cut = cut.where(F.greatest("first", "a") <= F.least("last", "b")).withColumn("from", F.greatest("lo", "a"))
+        core = F.expr(f"substring(bytes, b - lo + 1, a + {shape.length} - b)")
+        cut = cut.withColumns({"key": F.xxhash64("key", "a", core), "bytes": F.expr(f"substring(bytes, from - lo + 1, b + {shape.length} - from)"), "lo": F.col("from"), "first": F.greatest("first", "a"), "last": F.least("last", "b"), "s0": F.col("a"), "s1": F.col("b")})
+        pieces = keep_shared(cut.drop("a", "b", "from"), "key", ["kind"])
+    return reduce(DataFrame.unionByName, marks), reduce(DataFrame.unionByName, small)
+
+
 def with_hash(docs: DataFrame) -> DataFrame:
     """docs with text null made empty and its 128-bit hash t1, t2."""
     return docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(71), F.col("text"))})
@@ -223,14 +261,26 @@ def repeated_spans(docs: DataFrame, length: int, stages: Stages) -> tuple[DataFr
     varied = keep_shared(around.select("anchor", "ctx", F.col("n").alias("times"), "rep.*"), "anchor", ["ctx"])
     cores = varied.select("anchor", "ctx", "times", "t1", "t2", "pos", "first", "last", F.posexplode(F.array("c0", "c1", "c2", "c3")).alias("part", "core")).where("core <> 0")
     cores = stages.keep(keep_shared(cores.withColumn("key", F.xxhash64("anchor", "part", "core")), "key"), "cores")
+    hot = stages.keep(cores.groupBy("key").count().where(F.col("count") > KEY_ROWS).select("key"), "hot")
     small = F.col("part") * shape.part
     large = F.least((F.col("part") + 1) * shape.part, F.lit(shape.window)) - 1
     cores = cores.withColumns({"lo": F.greatest(-large, -F.col("pos")), "hi": length - small})
     cores = cores.withColumns({"first": F.greatest("first", "lo"), "last": F.least("last", -small)})
     cores = cores.join(texts.select("t1", "t2", F.coalesce("doc_id", F.lit(-(2**63))).alias("row")), ["t1", "t2"])
     whole = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("row"), "t1", "t2", F.col("text").cast("binary").alias("raw"))
-    pieces = cores.join(whole, ["row", "t1", "t2"]).select("key", "anchor", "ctx", "times", F.expr("substring(raw, pos + lo + 1, hi - lo)").alias("bytes"), "lo", "first", "last")
-    marks = stages.keep(_sorted_marks(pieces, shape), "marks").groupBy("anchor", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    cores = cores.withColumns({"s0": -large, "s1": -small})
+    columns = [*_PIECE, "s0", "s1"]
+
+    def pieces(of: DataFrame) -> DataFrame:
+        return of.join(whole, ["row", "t1", "t2"]).withColumn("bytes", F.expr("substring(raw, pos + lo + 1, hi - lo)")).select(*columns)
+
+    if hot.isEmpty():
+        marks = stages.keep(_sorted_marks(pieces(cores).select(*_PIECE), shape), "marks")
+    else:
+        settled, unlike = _divided_marks(pieces(cores.join(hot, "key", "left_semi")), shape, stages)
+        rest = pieces(cores.join(hot, "key", "left_anti")).select(*_PIECE)
+        marks = stages.keep(_sorted_marks(rest.unionByName(unlike), shape), "marks").unionByName(settled)
+    marks = marks.groupBy("anchor", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     moved = F.flatten(F.transform("pos", lambda p: F.transform("runs", lambda r: F.struct((p + r.a).alias("a"), (p + r.b).alias("b")))))
     spans = found.join(marks.unionByName(alike), ["anchor", "ctx"]).select("t1", "t2", moved.alias("spans"))
     spans = spans.join(copied, ["t1", "t2"], "left_anti")

@@ -186,5 +186,5 @@ def keep_shared(df: DataFrame, key: str, dealt: list[str] | None = None) -> Data
         return df.repartition(key).sortWithinPartitions(key).mapInArrow(lambda b: run(b, [key], False, False), df.schema)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*dealt), F.lit(KEY_SALTS)).cast("int"))
     marked = salted.repartition(key, "_salt").sortWithinPartitions(key, "_salt").mapInArrow(lambda b: run(b, [key, "_salt"], False, True), StructType([*df.schema.fields, StructField("_state", ByteType()), StructField("_salt", IntegerType())]))
-    place = F.when(F.col("_state") == 2, F.xxhash64(*dealt)).otherwise(F.col(key))
+    place = F.when(F.col("_state") == 2, F.xxhash64(*dealt)).otherwise(F.xxhash64(key))
     return marked.repartition(place).sortWithinPartitions(key).mapInArrow(lambda b: run(b, [key], True, False), df.schema)

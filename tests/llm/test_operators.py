@@ -127,6 +127,21 @@ def test_repeats(docs, rows, length):
     assert got == brute_cut(rows, length)
 
 
+def test_repeats_large_groups(spark, monkeypatch):
+    """One passage with ever different ends: its groups of equal cores are divided down to single windows."""
+    monkeypatch.setattr(repeated_text, "KEY_ROWS", 2)
+    keep, names = staging.Stages.keep, []
+    monkeypatch.setattr(staging.Stages, "keep", lambda self, df, name="t": names.append(name) or keep(self, df, name))
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common = word(130)
+    texts = [word(60) + common[rng.randrange(40) : 130 - rng.randrange(40)] + word(60) for _ in range(60)]
+    texts += [t[20:150] + rng.choice("xyz") + t[150:] for t in texts[:20]] + [common[: 60 + i] + "z" * i + common[60 + i :] for i in range(0, 60, 3)] + texts[:3]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_text.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()}
+    assert got == brute_cut(rows, 50) and names.count("pieces") > 2
+
+
 def test_repeats_text(docs, rows):
     out = repeated_text.cut_repeats(docs.withColumnRenamed("source", "n_spans"), 100, with_text=True).collect()
     assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in out} == {i: v[3] for i, v in brute_cut(rows, 100).items()}
