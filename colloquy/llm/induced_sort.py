@@ -191,6 +191,7 @@ def suffix_order(text: np.ndarray, depth: int, limit: int = SPILL_ENTRIES, folde
     small[inner] = text[following[inner]] < text[following[inner] + 1]
     small[n - 1] = True
     seed_at = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    del place, change, following, inner
     packed = pack(text)
     seeds = _seeds(text, packed, seed_at, depth)
     seed_common = np.zeros(len(seeds), np.uint16)

@@ -38,9 +38,9 @@ from .staging import Stages, keep_shared
 #: Parts into which the windows of an anchor are divided by their offset.
 PARTS = 4
 #: Bytes of a shard; it ends with the last row of a group of equal cores.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Pieces of a group of equal cores that one task sorts; larger groups are divided by longer cores.
-KEY_ROWS = 8_192
+KEY_ROWS = 2_048
 
 
 class Shape:
@@ -98,7 +98,7 @@ def _occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
             _, own = np.unique(np.stack([t1, t2]), axis=1, return_index=True)
             lone = np.zeros(len(t1), bool)
             lone[own] = True  # copies within a batch are settled by their hash
-            for i, j in tb.chunks(off):
+            for i, j in tb.chunks(off, SHARD_BYTES):  # some 100 bytes of arrays for each byte
                 part, local = buf[off[i] : off[j]], off[i : j + 1] - off[i]
                 p, gram, first, last = anchors(part, local, shape)
                 row = np.searchsorted(local, p, "right") - 1
