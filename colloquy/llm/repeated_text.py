@@ -9,6 +9,7 @@ of interest. Anchors whose whole surroundings are alike are settled by comparing
 hashes of these; the surroundings of the others go, in four overlapping parts, to
 shards, where equal parts are settled at once and the suffixes of the unlike ones are put in order by external induced sorting with common
 prefixes (induced_sort), and windows that share ``length`` symbols are repeated.
+Groups too large for a shard are divided first, by longer and longer cores.
 
 Copies of whole texts are settled first, by their 128-bit hash, so that a large
 group of copies costs one row for each.
