@@ -221,22 +221,29 @@ def call_reject(messages: Column) -> Column:
     """First fault of the <tool_call> blocks and tool messages, null if there is none."""
     head = F.slice(messages, 1, 2)
     told = F.exists(head, lambda m: m.role.isin("system", "user") & F.left(m.content, F.lit(3000)).rlike(FUNCTION_PROMPT))
-    start = F.struct(F.lit(False).alias("call"), F.lit(None).cast("string").alias("reason"))
+    start = F.struct(F.lit(0).alias("calls"), F.lit(0).alias("replies"), F.lit(None).cast("string").alias("reason"))
+
+    def unanswered(a: Column) -> Column:
+        return F.when((a.calls > 0) & (a.replies == 0), "tool_response_missing").when((a.calls > 0) & (a.replies != a.calls), "tool_mismatch")
 
     def step(a: Column, m: Column) -> Column:
         c = F.coalesce(m.content, F.lit(""))
         blocks = F.regexp_extract_all(c, F.lit(r"(?s)<tool_call>\s*(.*?)\s*</tool_call>"), F.lit(1))
         count = lambda tag: F.regexp_count(c, F.lit(tag))
-        assistant = m.role == "assistant"
+        assistant = F.coalesce(m.role == "assistant", F.lit(False))
+        reply = F.coalesce(m.role == "tool", F.lit(False))
         fault = (
-            F.when((m.role == "tool") & ~a.call, "tool_result_without_call")
+            F.when(reply & (a.calls == 0), "tool_result_without_call")
             .when(assistant & (count("<tool_call>") != count("</tool_call>")), "tool_call_unbalanced")
             .when(assistant & F.exists(blocks, lambda b: F.get_json_object(b, "$.name").isNull()), "tool_call_unparseable")
             .when(assistant & (F.size(blocks) == 0) & told & c.rlike(CALL_MENTION), "tool_call_dropped")
         )
-        return F.struct(F.when(m.role == "tool", a.call).otherwise(F.coalesce(assistant & (F.size(blocks) > 0), F.lit(False))).alias("call"), F.coalesce(a.reason, fault).alias("reason"))
+        calls = F.when(reply, a.calls).when(assistant, F.size(blocks)).otherwise(0)
+        replies = F.when(reply, a.replies + F.greatest(count(r"(?s)<tool_response>.*?</tool_response>"), F.lit(1))).otherwise(0)
+        return F.struct(calls.alias("calls"), replies.alias("replies"), F.coalesce(a.reason, F.when(~reply, unanswered(a)), fault).alias("reason"))
 
-    return F.aggregate(messages, start, step, lambda a: a.reason)
+    # calls that end the chat need no reply
+    return F.aggregate(messages, start, step, lambda a: F.coalesce(a.reason, F.when(a.replies > 0, unanswered(a))))
 
 
 def lexical_mismatch(messages: Column) -> Column:
