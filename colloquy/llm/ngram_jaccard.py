@@ -238,26 +238,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     stages = Stages(spark, alike=True)
     levels = spark.sparkContext.broadcast(shingle_levels(docs, k))
     signatures = stages.keep(_signatures(docs, k, percent, levels), "signatures")
-    same = signatures.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    same = stages.keep(same, "sets")
-    reps = stages.keep(signatures.join(same, ["n", "s1", "s2"]).where("doc_id = rep").dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "n", "p", "prefix", "bands", "bound", *PARITY), "reps")
+    # the least doc_id of each set; the rest of its row follows from the set
+    first = F.min(F.struct("doc_id", "p", "prefix", "bands", "bound", *PARITY)).alias("first")
+    reps = stages.keep(signatures.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(first).select("n", "s1", "s2", "first.*"), "reps")
+    same = stages.keep(reps.select("n", "s1", "s2", F.col("doc_id").alias("rep")), "sets")
     signed = stages.keep(signatures.select("doc_id", "n", "s1", "s2"), "signed")
     stages.drop(signatures)
 
-    groups = reps.groupBy("n", "p").agg(F.min("doc_id").alias("gid"))
-    members = stages.keep(reps.select("doc_id", "n", "p").join(groups, ["n", "p"]).select("gid", "doc_id"), "members")
+    groups = reps.groupBy("n", "p").agg(F.min("doc_id").alias("gid"), (F.count("*") > 1).alias("several"))
+    members = stages.keep(reps.select("doc_id", "n", "p").join(groups, ["n", "p"]).select("gid", "doc_id", "several"), "members")
     firsts = reps.join(members.where("gid = doc_id").select("doc_id"), "doc_id", "left_semi")
     postings = firsts.select(F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("gid"), "n")
     shared = stages.keep(keep_shared(postings, "token"), "shared")
-    in_play = shared.select("gid").distinct().join(members, "gid").select("doc_id").unionByName(members.where("gid <> doc_id").select("doc_id")).unionByName(members.where("gid <> doc_id").select(F.col("gid").alias("doc_id"))).distinct()
+    in_play = members.where("not several").join(shared, "gid", "left_semi").unionByName(members.where("several")).select("doc_id")
     in_play = stages.keep(in_play, "in-play")
 
     # first links: members with their group's first, groups in play with neighbours in bands of least hashes
     inner = members.where("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b"))
-    near = stages.keep(_neighbours(reps.select("doc_id", "n", "bands").join(in_play, "doc_id", "left_semi"), percent).unionByName(inner).distinct(), "beside")
-    bounds = stages.keep(reps.select("doc_id", "n", "bound", *PARITY).join(in_play, "doc_id", "left_semi"), "bounds")
+    bounds = stages.keep(reps.select("doc_id", "n", "bands", "bound", *PARITY).join(in_play, "doc_id", "left_semi"), "bounds")
     stages.drop(reps)
-    near = stages.keep(_bounded(near, bounds, percent), "near")
+    near = stages.keep(_bounded(_neighbours(bounds, percent).unionByName(inner).distinct(), bounds, percent), "near")
     texts = stages.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(in_play, "doc_id", "left_semi"), "texts")
     links = stages.keep(_verified(near, texts, k, percent), "links")
     first = stages.keep(components(stages, links), "first")

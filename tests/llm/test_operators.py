@@ -151,6 +151,27 @@ def test_repeats_text(docs, rows):
         assert b"".join(texts[r.doc_id][a:b] for a, b in zip(edges[::2], edges[1::2])) == r.text.encode()
 
 
+@pytest.mark.parametrize("in_task", [0, 1 << 20])
+def test_components(spark, monkeypatch, in_task):
+    """Links of both kinds of passes; few links need no rounds, each of which is written."""
+    monkeypatch.setattr(staging, "LINKS_IN_TASK", in_task, raising=False)
+    rng = random.Random(6)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 130)]
+    parent = {x: x for link in links for x in link}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    stages = staging.Stages(spark)
+    got = {r.node: r.component for r in staging.components(stages, spark.createDataFrame(links, "a long, b long")).collect()}
+    alone = parent.keys() - {x for a, b in links if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in parent.keys() - alone}
+    assert in_task == 0 or stages.count == 0
+
+
 @pytest.mark.parametrize("dealt", [None, ["b"]])
 def test_keep_shared(spark, dealt):
     """Lone keys go, however the rows of a key are dealt; one key holds a third of all rows."""
