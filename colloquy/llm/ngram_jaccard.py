@@ -44,8 +44,8 @@ SKETCH_PART = 1 << 14
 BANDS, BAND = 16, 8
 #: Buckets of the overlap bound kept for each representative.
 BOUND_BUCKETS = 128
-#: Parts in which neighbours of a band are found.
-BAND_SALTS = 8
+#: Parts in which neighbours of a band are found, and sets before it that a set is held against.
+BAND_SALTS, BEFORE = 8, 8
 #: Words of the parity bitmap of a set. Sets that differ in d shingles have bitmaps that differ in d bits at most.
 PARITY_WORDS = 4
 PARITY = [f"m{i}" for i in range(PARITY_WORDS)]
@@ -211,19 +211,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
 
 def _neighbours(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that stand side by side, by size, among the sets with an equal band.
+    """Pairs (a, b) that stand near each other, by size, among the sets with an equal band.
 
-    A band that very many sets share is dealt out: neighbours are found in each of
-    BAND_SALTS parts of it, and then among the first sets of its parts.
+    A set is paired with the nearest of the BEFORE sets before it whose size and
+    bitmap leave room for the overlap. Sets of one size stand in another order in each
+    band, so that a set meets others there. A band that very many sets share is dealt
+    out: neighbours are found in each of BAND_SALTS parts of it, and then among the
+    first BEFORE sets of its parts.
     """
     salted = F.pmod(F.xxhash64("doc_id"), F.lit(BAND_SALTS)).cast("int").alias("salt")
-    rows = reps.select(F.explode("bands").alias("band"), salted, F.struct("n", "doc_id").alias("x"))
+    rows = reps.select("doc_id", "n", *PARITY, F.explode("bands").alias("band"), salted)
+    rows = rows.select("band", "salt", F.struct("n", F.xxhash64("doc_id", "band").alias("turn"), "doc_id", *PARITY).alias("x"))
 
     def beside(df: DataFrame, keys: list[str]) -> DataFrame:
-        after = df.withColumn("p", F.lag("x").over(W.partitionBy(*keys).orderBy("x")))
-        return after.where(f"p is not null and 100 * p.n >= {percent} * x.n").select(F.col("x.doc_id").alias("a"), F.col("p.doc_id").alias("b"))
+        order = W.partitionBy(*keys).orderBy("x")
+        placed = df.select("x", *(F.lag("x", i).over(order).alias(f"p{i}") for i in range(1, BEFORE + 1)))
 
-    firsts = rows.groupBy("band", "salt").agg(F.min("x").alias("x"))
+        def room(p: str):
+            apart = " + ".join(f"bit_count(x.{m} ^ {p}.{m})" for m in PARITY)
+            return F.expr(f"100 * {p}.n >= {percent} * x.n") & (F.expr(apart) <= F.expr(f"x.n + {p}.n") - 2 * _overlap_needed("x.n", f"{p}.n", percent))
+
+        near = F.coalesce(*(F.when(room(f"p{i}"), F.col(f"p{i}.doc_id")) for i in range(1, BEFORE + 1)))
+        return placed.select(F.col("x.doc_id").alias("a"), near.alias("b")).where("b is not null")
+
+    firsts = rows.withColumn("rank", F.row_number().over(W.partitionBy("band", "salt").orderBy("x"))).where(F.col("rank") <= BEFORE)
     return beside(rows, ["band", "salt"]).unionByName(beside(firsts, ["band"])).distinct()
 
 

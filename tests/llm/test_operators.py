@@ -81,6 +81,13 @@ def test_jaccard(docs, rows, k, percent):
     assert got == brute_components(rows, k, percent)
 
 
+def test_neighbours_past_an_unlike_set(spark, monkeypatch):
+    """Of three sets of one size with a band in common, the alike first and last are paired, not each with the set between."""
+    monkeypatch.setattr(ngram_jaccard, "BAND_SALTS", 1)
+    reps = spark.createDataFrame([(1, 100, [5], *[0] * 4), (2, 100, [5], *[-1] * 4), (3, 100, [5], *[0] * 4)], "doc_id long, n int, bands array<long>, m0 long, m1 long, m2 long, m3 long")
+    assert {frozenset(r) for r in ngram_jaccard._neighbours(reps, 85).collect()} == {frozenset((1, 3))}
+
+
 def test_jaccard_members_of_a_group(spark, monkeypatch):
     """A and A' share prefix and size, only A' is near B: the cross pass alone must link it."""
     bands = ngram_jaccard._neighbours
